@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import embed_dedup
+from .ann import search
+from .packing import pack
+from .pieces import encode_pieces
+from .quality import score_quality
 from .simhash import hex_fp, near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
+from .toxicity import score_toxicity
+from .warc import archive_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,17 +34,58 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op3_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
     return out.select("doc_id", hex_fp(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op9_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, pieces, a digest of the ids, and whether decoding gave the text back."""
+    docs = table(spark, sf_dir, "documents")
+    out = encode_pieces(docs.select("doc_id", "text"), "piece_bpe_32k.model", dropout=0.1, seed=42)
+    return out.select(
+        "doc_id",
+        F.octet_length("decoded").cast("long").alias("n_bytes"),
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), " "), 256).alias("pieces_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 512)
 
 
+_ALL = (op1_suffix_dedup, op2_hilbert_neighbours, op3_length_packing, op4_arc_to_warc, op5_simhash_near_dedup, op6_toxicity, op7_embedding_near_dedup, op8_quality, op9_piece_dropout, op10_token_counts)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op5_simhash_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
