@@ -15,12 +15,14 @@ windows have equal names wherever they stand.  The steps:
 
 All exchanges carry packed blobs per bucket; the number of buckets follows the
 bytes of the input, so a task holds about ``BUCKET_BYTES`` of text.  Names and
-segments that repeat inside one task are settled there before anything moves, so
-a passage that very many documents share arrives once per task.
+segments that repeat inside one task are settled there before anything moves, and
+equal texts move once per batch with their ids, so a passage or a text that very
+many documents share arrives once per task.
 """
 
 from __future__ import annotations
 
+import bz2
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +49,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 def pack(*columns: np.ndarray) -> bytes:
     """Arrays of any types as one compressed blob."""
     head = np.array([len(columns), *[x for c in columns for x in (ord(c.dtype.char), len(c))]], np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head.tobytes(), *[np.ascontiguousarray(c).tobytes() for c in columns]]))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head.tobytes(), *[np.ascontiguousarray(c).tobytes() for c in columns]]))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
@@ -161,8 +163,9 @@ def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(b, pa.int64()), pa.array(k, pa.int32()), pa.array(x, pa.binary())], ["bucket", "kind", "blob"])
 
 
-def _home(ids: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mix(ids.view(np.uint64) + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+def _home(tags: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a text; equal texts share it, and each task sends them once."""
+    return (_mix(tags.view(np.uint64) + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _tags(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -195,6 +198,36 @@ def _six(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (name & np.uint64(0xFFFFFFFF)).astype(np.uint32), (name >> np.uint64(32)).astype(np.uint16)
 
 
+def _name(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+
+
+def _short(tags: np.ndarray) -> np.ndarray:
+    """Half a tag asks for segments of a text in its bucket; one too many does no harm."""
+    return tags.view(np.uint64).astype(np.uint32)
+
+
+def _spans(home: np.ndarray, ids: np.ndarray, tags: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """Covered spans to the buckets of their texts, overlapping ones as one.
+
+    Sixteen bits of the tag tell texts of one id apart.
+    """
+    if not len(ids):
+        return []
+    tag = tags.astype(np.uint16)
+    o = np.lexsort((start, tag, ids, home))
+    home, ids, tag, start, end = home[o], ids[o], tag[o], start[o].astype(np.int64), (start + size)[o].astype(np.int64)
+    new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (tag[1:] != tag[:-1]) | (home[1:] != home[:-1])))
+    step = np.int64(end.max() + 1)
+    base = (np.cumsum(new) - 1) * step
+    reach = np.maximum.accumulate(base + end)
+    opens = np.concatenate(([True], (base + start)[1:] > reach[:-1])) | new
+    at = np.flatnonzero(opens)
+    last = np.append(at[1:], len(ids)) - 1
+    stop = reach[last] - base[last]
+    return spread(home[at].astype(np.int64), 3, ids[at], tag[at], start[at].astype(np.int32), (stop - start[at]).astype(np.int32))
+
+
 def _names(buckets: int):
     """Step 1, map side: names to their buckets; what already repeats here is settled here."""
 
@@ -206,14 +239,15 @@ def _names(buckets: int):
             for row, _, number, _, name in t.blocks():
                 if not len(row):
                     continue
-                ids, tags, number = t.ids[row], t.tags[row], number.astype(np.int32)
+                ids, tag, number = t.ids[row], _short(t.tags)[row], number.astype(np.int32)
+                home = _home(t.tags, buckets)[row]
                 known = _settle(name, ids)
-                rows = spread(_home(ids[known], buckets), 1, ids[known], tags[known], number[known])
+                rows = spread(home[known], 1, tag[known], number[known])
                 order = np.lexsort((number, ids, name))
                 lead = np.concatenate(([True], name[order][1:] != name[order][:-1]))
                 send = np.sort(order[lead | ~known[order]])  # of a settled name one row tells the others
                 to = (_mix(name[send]) >> np.uint64(7)) % np.uint64(buckets)
-                rows += spread(to.astype(np.int64), 0, *_six(name[send]), ids[send], tags[send], number[send], known[send].view(np.uint8))
+                rows += spread(to.astype(np.int64), 0, *_six(name[send]), ids[send], home[send].astype(np.uint32), tag[send], number[send], known[send].view(np.uint8))
                 yield from batch_of(rows).to_batches()
 
     return run
@@ -227,32 +261,59 @@ def _repeated(buckets: int):
         rows = [(int(b), 1, x) for b, k, x in zip(table.column("bucket").to_pylist(), kinds, blobs, strict=True) if k == 1]
         own = [x for k, x in zip(kinds, blobs, strict=True) if k == 0]
         if own:
-            low, high, ids, tags, number, known = joined(own)
-            name = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
-            keep = _settle(name, ids) & (known == 0)
-            rows += spread(_home(ids[keep], buckets), 1, ids[keep], tags[keep], number[keep])
+            low, high, ids, home, tag, number, known = joined(own)
+            keep = _settle(_name(low, high), ids) & (known == 0)
+            rows += spread(home[keep].astype(np.int64), 1, tag[keep], number[keep])
         return batch_of(rows)
 
     return run
 
 
+def _copies(t: Text) -> np.ndarray:
+    """For each row the first row with the same bytes."""
+    first: dict[tuple[int, int], int] = {}
+    out = np.arange(len(t.ids))
+    sizes = np.diff(t.offs)
+    for i, k in enumerate(zip(t.tags.tolist(), sizes.tolist(), strict=True)):
+        j = first.setdefault(k, i)
+        if j != i and np.array_equal(t.raw[t.offs[i] : t.offs[i + 1]], t.raw[t.offs[j] : t.offs[j + 1]]):
+            out[i] = j
+    return out
+
+
+def _stream(table: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_batch(table)
+    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
+
+
 def _texts(buckets: int):
+    """Texts to their buckets, equal ones once per batch with all their ids; columns after the second travel along."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
             t = _text_of(b)
-            null = b.column(0).is_null().to_numpy(zero_copy_only=False)
-            sizes, home = np.diff(t.offs), _home(t.ids, buckets)
-            order = np.argsort(home, kind="stable")
-            at = 0
-            while at < len(order):  # blobs of limited size, so that no row outgrows Arrow or the JVM
-                end = at + max(1, int(np.searchsorted(np.cumsum(sizes[order[at:]]), BUCKET_BYTES, side="right")))
+            null = b.column(0).is_null().to_numpy(zero_copy_only=False).view(np.uint8)
+            first, home, sizes = _copies(t), _home(t.tags, buckets), np.diff(t.offs)
+            lead = np.flatnonzero(first == np.arange(len(first)))
+            lead = lead[np.argsort(home[lead], kind="stable")]
+            members = np.argsort(first, kind="stable")
+            lo, hi = np.searchsorted(first[members], lead, side="left"), np.searchsorted(first[members], lead, side="right")
+            at, total = 0, np.cumsum(sizes[lead])
+            while at < len(lead):  # blobs of limited size, so that no row outgrows Arrow or the JVM
+                end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + BUCKET_BYTES, side="right")))
                 rows = []
-                for k in np.unique(home[order[at:end]]):
-                    sel = order[at:end][home[order[at:end]] == k]
-                    rows.append((int(k), 2, pack(t.ids[sel], t.tags[sel], sizes[sel], t.raw[ragged(t.offs[sel], sizes[sel])], null[sel].view(np.uint8))))
-                yield from batch_of(rows).to_batches()
+                for k in np.unique(home[lead[at:end]]):
+                    sel = at + np.flatnonzero(home[lead[at:end]] == k)
+                    u, n = lead[sel], (hi - lo)[sel]
+                    own = members[ragged(lo[sel], n)]
+                    more = _stream(b.select(range(2, b.num_columns)).take(pa.array(own))) if b.num_columns > 2 else b""
+                    rows.append((int(k), pack(t.tags[u], sizes[u], n, t.raw[ragged(t.offs[u], sizes[u])], t.ids[own], null[own]), more))
+                c = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.binary()), pa.array(c[2], pa.binary())], ["bucket", "blob", "more"])
                 at = end
 
     return run
@@ -276,36 +337,49 @@ def _fetch(buckets: int):
     def run(texts: pa.Table, asked: pa.Table) -> pa.Table:
         blobs = texts.column("blob").to_pylist()
         want = asked.column("blob").to_pylist()
-        if not blobs or not want:
+        here = texts.column("bucket")[0].as_py() if len(texts) else 0
+        if not blobs:
             return batch_of([])
-        ids, tags, sizes, raw, _ = joined(blobs)
-        t = Text(ids, tags, sizes, raw)
-        w_ids, w_tags, w_num = joined(want)
-        order = np.lexsort((w_num, w_tags, w_ids))
-        w_ids, w_tags, w_num = w_ids[order], w_tags[order], w_num[order]
-        opens = np.flatnonzero(np.concatenate(([True], (w_ids[1:] != w_ids[:-1]) | (w_tags[1:] != w_tags[:-1]))))
-        place = dict(zip(zip(ids.tolist(), tags.tolist()), range(len(ids))))
-        of = np.array([place[k] for k in zip(w_ids[opens].tolist(), w_tags[opens].tolist())], np.int64)
-        w_row = np.repeat(of, np.diff(np.append(opens, len(w_ids))))
+        tags, sizes, n, raw, all_ids, _ = joined(blobs)
+        t = Text(np.minimum.reduceat(all_ids, np.cumsum(n) - n), tags, sizes, raw)
+        first = _copies(t)
+        # Of equal texts the one with the smallest id stands for all; larger ids lose every byte.
+        least = t.ids.copy()
+        np.minimum.at(least, first, t.ids)
+        owner = np.repeat(first, n)
+        lost = (all_ids > least[owner]) & (sizes[owner] >= SPAN)
+        rows = _spans(np.full(int(lost.sum()), here), all_ids[lost], tags[owner[lost]], np.zeros(int(lost.sum()), np.int64), sizes[owner[lost]])
+        u = np.flatnonzero(first == np.arange(len(first)))
+        raw = raw[ragged(t.offs[u], sizes[u])]
+        ids, tags = least[u], tags[u]
+        t = Text(ids, tags, sizes[u], raw)
+        if not want:
+            return batch_of(rows)
+        w_tag, w_num = joined(want)
+        by_tag = np.argsort(_short(tags), kind="stable")
+        lo, hi = (np.searchsorted(_short(tags)[by_tag], w_tag, side=side) for side in ("left", "right"))
+        w_row, w_num = by_tag[ragged(lo, hi - lo)], np.repeat(w_num, hi - lo)
         order = np.argsort(w_row, kind="stable")
         w_row, w_num = w_row[order], w_num[order]
-        rows = []
         for row, start, _, win, name in t.blocks():
             if not len(row):
                 continue
             lo, hi = np.searchsorted(w_row, [row[0], row[-1] + 1])
-            at = np.unique(np.searchsorted(row, w_row[lo:hi]) + w_num[lo:hi])
+            at = np.searchsorted(row, w_row[lo:hi]) + w_num[lo:hi]
+            at = np.unique(at[(at < len(row)) & (row[np.minimum(at, len(row) - 1)] == w_row[lo:hi])])
             row, start, win, name = row[at], start[at], win[at], name[at]
             size = win + SPAN - 1
             bytes_ = raw[ragged(t.offs[row] + start, size)]
             x = np.cumsum(size) - size
             gone = _covered(Suffixes(bytes_), name, x, size, ids[row])
-            rows += spread(_home(ids[row[gone]], buckets), 3, ids[row[gone]], tags[row[gone]], start[gone], size[gone])
+            rows += _spans(np.full(int(gone.sum()), here), ids[row[gone]], tags[row[gone]], start[gone], size[gone])
             stay = np.flatnonzero(~gone)
             to = ((_mix(name[stay]) >> np.uint64(7)) % np.uint64(buckets)).astype(np.int64)
             for k in np.unique(to):
                 sel = stay[to == k]
-                rows.append((int(k), 4, pack(name[sel], ids[row[sel]], tags[row[sel]], start[sel], size[sel], bytes_[ragged(x[sel], size[sel])])))
+                own = (ids[row[sel]], tags[row[sel]].astype(np.uint16), start[sel].astype(np.int32), size[sel].astype(np.int32))
+                raw_ = np.frombuffer(bz2.compress(bytes_[ragged(x[sel], size[sel])].tobytes()), np.uint8)
+                rows.append((int(k), 4, pack(*_six(name[sel]), np.full(len(sel), here, np.int32), *own, raw_)))
         return batch_of(rows)
 
     return run
@@ -344,9 +418,11 @@ def _match(buckets: int):
         rows = [(int(b), 3, x) for b, k, x in zip(table.column("bucket").to_pylist(), kinds, blobs, strict=True) if k == 3]
         own = [x for k, x in zip(kinds, blobs, strict=True) if k == 4]
         if own:
-            name, ids, tags, start, size, raw = joined(own)
-            seg, at, length = match(name, ids, start, size, raw)
-            rows += spread(_home(ids[seg], buckets), 3, ids[seg], tags[seg], at, length)
+            parts = [unpack(x) for x in own]
+            low, high, home, ids, tags, start, size = (np.concatenate(c) for c in zip(*[p[:-1] for p in parts], strict=True))
+            raw = np.frombuffer(b"".join(bz2.decompress(p[-1].tobytes()) for p in parts), np.uint8)
+            seg, at, length = match(_name(low, high), ids, start.astype(np.int64), size.astype(np.int64), raw)
+            rows += _spans(home[seg], ids[seg], tags[seg], at, length)
         return batch_of(rows)
 
     return run
@@ -360,52 +436,71 @@ def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[at], reach[np.append(at[1:], len(starts)) - 1]
 
 
-def _keep(texts: pa.Table, spans: pa.Table) -> pa.Table:
+def _keep(as_text: bool):
     """Step 3: the texts without their covered spans."""
-    out: list[tuple] = []
-    found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-    blobs = spans.column("blob").to_pylist()
-    if blobs:
-        ids, tags, start, size = joined(blobs)
-        o = np.lexsort((start, tags, ids))
-        ids, tags, start, end = ids[o], tags[o], start[o], (start + size)[o]
-        at = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])))) if len(ids) else []
-        for i, j in zip(at, np.append(at[1:], len(ids)), strict=True):
-            found[int(ids[i]), int(tags[i])] = _merge(start[i:j], end[i:j])
-    for blob in texts.column("blob").to_pylist():
-        ids, tags, sizes, raw, null = unpack(blob)
-        offs = np.concatenate(([0], np.cumsum(sizes)))
-        for i in range(len(ids)):
-            data = raw[offs[i] : offs[i + 1]]
-            s, e = found.get((int(ids[i]), int(tags[i])), (None, None))
-            if s is not None:
-                edge = np.zeros(len(data) + 1, np.int8)
-                edge[s] += 1
-                edge[e] -= 1
-                data = data[np.cumsum(edge[:-1]) == 0]
-            out.append((None if null[i] else int(ids[i]), int(sizes[i]), s.tolist() if s is not None else [], e.tolist() if e is not None else [], data.tobytes()))
-    cols = list(zip(*out, strict=True)) if out else [()] * 5
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_bytes", "starts", "ends", "kept"])
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_bytes, starts, ends (removed runs, ends exclusive), kept (bytes).
-
-    Null texts count as empty.  Texts shorter than the span keep everything.  Of
-    copies the one with the smallest id stays whole and the others lose all;
-    rows that share an id do not remove bytes from each other.  A row with a null
-    id comes after all others.  Other columns are not read; an empty table gives
-    no row.
+
+    def run(texts: pa.Table, spans: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        blobs = spans.column("blob").to_pylist()
+        if blobs:
+            ids, tags, start, size = joined(blobs)
+            o = np.lexsort((start, tags, ids))
+            ids, tags, start, end = ids[o], tags[o], start[o].astype(np.int64), (start + size)[o].astype(np.int64)
+            at = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])))) if len(ids) else []
+            for i, j in zip(at, np.append(at[1:], len(ids)), strict=True):
+                found[int(ids[i]), int(tags[i])] = _merge(start[i:j], end[i:j])
+        for blob in texts.column("blob").to_pylist():
+            tags, sizes, n, raw, ids, null = unpack(blob)
+            offs, of = np.concatenate(([0], np.cumsum(sizes))), np.repeat(np.arange(len(n)), n)
+            for i, j in enumerate(of.tolist()):
+                data = raw[offs[j] : offs[j + 1]]
+                s, e = found.get((int(ids[i]), int(tags[j]) & 0xFFFF), (None, None))
+                if s is not None:
+                    edge = np.zeros(len(data) + 1, np.int8)
+                    edge[s] += 1
+                    edge[e] -= 1
+                    data = data[np.cumsum(edge[:-1]) == 0]
+                kept = data.tobytes().decode("utf-8", "ignore") if as_text else data.tobytes()
+                out.append((None if null[i] else int(ids[i]), int(sizes[j]), s.tolist() if s is not None else [], e.tolist() if e is not None else [], kept))
+        cols = list(zip(*out, strict=True)) if out else [()] * 5
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string() if as_text else pa.binary()]
+        table = pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_bytes", "starts", "ends", "kept"])
+        streams = [x for x in texts.column("more").to_pylist() if x]
+        if streams:
+            read = lambda x: pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(x)).read_all()
+            other = pa.concat_tables([read(x) for x in streams])
+            for name in other.column_names:
+                table = table.append_column(name, other.column(name))
+        return table
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_bytes, starts, ends (removed runs, ends exclusive), kept, then ``carry``.
+
+    ``kept`` holds the remaining bytes; with ``as_text`` they are a string and what
+    is left of a character cut in two goes as well.  Null texts count as empty.
+    Texts shorter than the span keep everything.  Of copies the one with the
+    smallest id stays whole and the others lose all; rows that share an id do not
+    remove bytes from each other.  A row with a null id comes after all others.
+    Columns named in ``carry`` come back unchanged under names of their own
+    (``more_0``, ...), so they may clash with nothing; others are not read.  An
+    empty table gives no row.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    carry = carry or []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *[F.col(c).alias(f"more_{i}") for i, c in enumerate(carry)])
+    main = rows.select("doc_id", "text")
+    total = main.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(8, total // bucket_bytes))
     # Fresh names for each use, so that a table may meet what was made from it.
     grouped = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns]).groupBy("bucket")
-    asked = grouped(rows.mapInArrow(_names(buckets), _SCHEMA)).applyInArrow(_repeated(buckets), _SCHEMA)
-    texts = rows.mapInArrow(_texts(buckets), _SCHEMA)
+    asked = grouped(main.mapInArrow(_names(buckets), _SCHEMA)).applyInArrow(_repeated(buckets), _SCHEMA)
+    texts = rows.mapInArrow(_texts(buckets), "bucket long, blob binary, more binary")
     parts = grouped(texts).cogroup(grouped(asked)).applyInArrow(_fetch(buckets), _SCHEMA)
     spans = grouped(parts).applyInArrow(_match(buckets), _SCHEMA)
     # The same packed texts as above: Spark reuses their exchange.
-    return grouped(texts).cogroup(grouped(spans)).applyInArrow(_keep, "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
+    more = "".join(f", more_{i} {rows.schema[i + 2].dataType.simpleString()}" for i in range(len(carry)))
+    out = f"doc_id long, n_bytes long, starts array<long>, ends array<long>, kept {'string' if as_text else 'binary'}{more}"
+    return grouped(texts).cogroup(grouped(spans)).applyInArrow(_keep(as_text), out)
