@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..operators import anomaly, baseline, features, graph, scoring, sessions, templates
@@ -37,7 +38,7 @@ class Pipeline:
         return self.read(name)
 
     def parsing(self, source: DataFrame) -> None:
-        rows = logs.parsed_lines(logs.number_lines(logs.normalize(source, year=self.year), keep=_parsed()), year=self.year)
+        rows = logs.number_lines(logs.normalize(source, year=self.year), keep=F.col("timestamp").isNotNull())
         self.write(sessions.sessionized_logs(templates.mine_templates(rows, self.config), self.config), "sessionized_logs")
 
     def features(self) -> None:
@@ -92,9 +93,3 @@ class Pipeline:
             except FileNotFoundError:
                 pass
         return out
-
-
-def _parsed():
-    from pyspark.sql import functions as F
-
-    return F.col("timestamp").isNotNull()
