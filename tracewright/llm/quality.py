@@ -28,19 +28,28 @@ from .common import drop_table, held_out, labelled_texts, texts_of
 
 SAMPLE, VOCABULARY, DIM, NONZERO, WINDOW, HIDDEN = 6000, 6000, 64, 6, 2, 24
 _CACHE = 300_000
+_MARKS = ".,;:!?*#$%&|"
 _ROWS = "doc_id long, label int, features array<double>"
 
 
-def shape(word: str) -> str:
-    """Kinds of characters in a row, each run once, eight runs at most."""
-    out = []
+def _runs(word: str, most: int) -> str:
+    out: list[str] = []
     for c in word:
         k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != k:
-            if len(out) == 8:
+            if len(out) == most:
                 break
             out.append(k)
-    return "\x00" + "".join(out)
+    return "".join(out)
+
+
+def shape(word: str) -> str:
+    """Kinds of characters in a row, each run once, eight runs at most."""
+    body = word.rstrip(_MARKS)
+    tail = word[len(body) :]
+    if body.isalpha() and (body[1:].islower() or len(body) == 1) and len(tail) < 2:
+        return ("\x00Aa" if len(body) > 1 else "\x00A") + tail if body[0].isupper() else "\x00a" + tail
+    return "\x00" + _runs(word, 8)
 
 
 def index_vector(token: str, dim: int = DIM) -> np.ndarray:
@@ -75,7 +84,7 @@ class Words:
         except KeyError:
             if len(cache) > _CACHE:
                 cache.clear()
-            for w in set(words) - cache.keys():
+            for w in set(words).difference(cache):
                 cache[w] = self._find(w)
             return np.array(list(map(cache.__getitem__, words)), np.int64)
 
