@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import drop_table, held_out, labelled_texts, texts_of
 
-SAMPLE, TERMS, WINDOW, SUPPORT, PRECISION = 12_000, 400, 6, 6, 0.9
-_STEMS, _ENDINGS = (4, 5, 6), 4
+SAMPLE, TERMS, WINDOW, SUPPORT, PRECISION = 12_000, 400, 6, 6, 0.8
+_STEMS, _ENDINGS = (4, 5, 6, 7, 8), 4
 _CACHE, _STATES = 300_000, 100_000
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»„“”‘’¿¡…–—"
 #: Quotation marks, verbs of reporting and second persons.
@@ -159,7 +159,7 @@ class Scanner:
         kinds = set(words)
         if len(self.known) > _CACHE:
             self.known.clear()
-        for w in kinds - self.known.keys():
+        for w in kinds.difference(self.known):
             self.known[w] = None
             found = self.automaton.find(clean(w))
             if found:
@@ -214,10 +214,17 @@ def _lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
     )
     good = found.filter((F.col("support") >= SUPPORT) & (F.col("support") >= PRECISION * (F.col("support") + F.col("plain"))) & (~F.col("w").endswith("*") | (F.col("endings") >= _ENDINGS)))
     kept = good.orderBy(F.desc("support"), "w").limit(8 * TERMS).collect()
+    support = {r["w"][:-1]: r["support"] for r in kept if r["w"].endswith("*")}
     stems: list[str] = []
-    for r in sorted((r for r in kept if r["w"].endswith("*")), key=lambda r: (len(r["w"]), -r["support"], r["w"])):
-        stem = r["w"][:-1]
-        if not any(stem.startswith(s) for s in stems):
+    for stem in sorted(support, key=lambda x: (len(x), -support[x], x)):
+        if any(stem.startswith(s) for s in stems):
+            continue
+        while True:  # a longer stem that keeps nearly all support says more
+            longer = [x for x in support if len(x) == len(stem) + 1 and x.startswith(stem) and support[x] >= 0.95 * support[stem]]
+            if not longer:
+                break
+            stem = longer[0]
+        if stem not in stems:
             stems.append(stem)
     terms = [r["w"] for r in kept if not r["w"].endswith("*") and not any(r["w"].startswith(s) for s in stems)]
     return terms[:TERMS], stems[:TERMS]
