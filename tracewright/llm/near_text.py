@@ -211,4 +211,4 @@ def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMIL
 def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` without near duplicates, one document per group, with all their columns."""
     gone = duplicate_ids(docs, words, similarity, radius).withColumnRenamed("doc_id", "gone_id")
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
