@@ -9,7 +9,8 @@ reranked by exact Euclidean distance.
 The width of the window is measured, not set: for a bounded sample of queries the
 true neighbours are found by a pass over all rows, and the window is the rank
 distance within which the target share of them lies on some curve.  It follows
-the data at every size: narrow where vectors form clusters, wide where they do not.
+the data at every size: narrow where vectors form clusters, wide where they do not,
+and never less than ``LEAST`` rows to either side.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-CURVES, AXES, BITS, PROBES, TARGET = 8, 4, 8, 64, 0.97
+CURVES, AXES, BITS, PROBES, TARGET, LEAST = 8, 4, 8, 64, 0.97, 512
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -160,7 +161,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, curves: int = CURV
     if chosen.isEmpty():
         return spark.createDataFrame([], kind)
     orders = _orders(vecs, curves, axes, bits, seed)
-    wide = _window(vecs, orders, chosen, k, probes, target)
+    wide = max(LEAST, _window(vecs, orders, chosen, k, probes, target))
     block = int(min(65_536, max(1024, wide // 4)))
     rows = orders.join(vecs, "vec_id").select("curve", F.floor(F.col("rank") / block).alias("block"), "vec_id", "rank", "vec")
     asks = orders.join(chosen, "vec_id").groupBy("curve", "vec_id").agg(F.min("rank").alias("rank"), F.first("vec").alias("vec"))

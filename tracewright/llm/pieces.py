@@ -207,7 +207,7 @@ class Pieces:
             new: set[str] = set()
             for w, v in zip(cut, variants, strict=True):
                 new.update(w[(r - v) % modulus :: modulus])
-            fresh = list(new - memory.keys())
+            fresh = list(new.difference(memory))
             memory.update(zip(fresh, self.segment(fresh, r), strict=True))
         out = []
         for w, v in zip(cut, variants, strict=True):
