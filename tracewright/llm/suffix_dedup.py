@@ -386,26 +386,45 @@ def _fetch(buckets: int):
 
 
 def match(name, ids, start, size, raw):
-    """Covered spans among segments: (segment, offset in its document, length)."""
+    """Covered spans among segments: (segment, offset in its document, length).
+
+    Segments are taken a few names at a time, so the arrays of a sort stay small.
+    """
+    x = np.cumsum(size) - size
+    some = np.flatnonzero(_settle(name, ids))
+    some = some[np.argsort(name[some], kind="stable")]
+    total = np.cumsum(size[some])
+    out, at = [], 0
+    while at < len(some):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + BLOCK_BYTES, side="right")))
+        while end < len(some) and name[some[end]] == name[some[end - 1]]:
+            end += 1
+        part = some[at:end]
+        seg, shift, length = _match_some(name[part], ids[part], size[part], raw[ragged(x[part], size[part])])
+        out.append((part[seg], start[part[seg]] + shift, length))
+        at = end
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (some, some, some)
+
+
+def _match_some(name, ids, size, raw):
+    """(segment, offset in the segment, length) of covered bytes: whole segments, then single windows of the others."""
     suffixes = Suffixes(raw)
     x = np.cumsum(size) - size
     whole = _covered(suffixes, name, x, size, ids)
-    out = [(np.flatnonzero(whole), start[whole], size[whole])]
+    full = np.flatnonzero(whole)
+    out = [(full, np.zeros(len(full), np.int64), size[full])]
     left = np.flatnonzero(~whole)
-    left = left[_settle(name[left], ids[left])] if len(left) else left
-    # Windows of what is left, a few names at a time.
-    left = left[np.argsort(name[left], kind="stable")]
+    left = left[_settle(name[left], ids[left])]
     count = size[left] - SPAN + 1
-    total = np.cumsum(count)
-    at = 0
+    total, at = np.cumsum(count), 0
     while at < len(left):
-        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), side="right")))
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 19), side="right")))
         while end < len(left) and name[left[end]] == name[left[end - 1]]:
             end += 1
         seg = np.repeat(left[at:end], count[at:end])
         shift = ragged(np.zeros(end - at, np.int64), count[at:end])
         hit = _covered(suffixes, name[seg], x[seg] + shift, np.full(len(seg), SPAN), ids[seg])
-        out.append((seg[hit], start[seg[hit]] + shift[hit], np.full(int(hit.sum()), SPAN)))
+        out.append((seg[hit], shift[hit], np.full(int(hit.sum()), SPAN)))
         at = end
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 

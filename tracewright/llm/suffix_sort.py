@@ -20,7 +20,7 @@ _PAD = 64
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    return np.cumprod(out, out=out)
 
 
 class Suffixes:
@@ -31,7 +31,9 @@ class Suffixes:
         n = len(self.raw)
         self.up = _powers(_BASE, n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.raw.astype(np.uint64) + np.uint64(1)) * _powers(_INVERSE, n), out=self.sums[1:])
+        terms = _powers(_INVERSE, n)
+        terms *= self.raw + np.uint64(1)
+        np.cumsum(terms, out=self.sums[1:])
 
     def same(self, x: np.ndarray, y: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Whether the polynomial hashes of ``length`` bytes at x and at y agree."""
