@@ -186,6 +186,60 @@ def test_near_texts_against_brute_force(spark):
     assert near_text.duplicate_ids(docs(spark, [])).count() == 0
 
 
+def brute_near(rows):
+    """Ids that are not the smallest of their group of five-word Jaccard of at least 0.8."""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in rows if (w := t.lower().split())}
+    ids = sorted(sets)
+    pairs = [(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    v, root = spanning(*map(np.array, zip(*pairs)))
+    return pairs, {int(x) for x, r in zip(v, root) if x != r}
+
+
+def cut_and_appended():
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(60):
+        base = words(rng, 100 + 5 * i, 5000).split()
+        k = round(len(base) * rng.uniform(0.81, 0.84))
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:k]))] if i % 2 else [(2 * i, " ".join(base[:k])), (2 * i + 1, " ".join(base[:k] + words(rng, len(base) - k, 5000).split()))]
+    return rows
+
+
+@pytest.mark.parametrize("hot", [None, 3])
+def test_near_texts_beyond_the_radius(spark, monkeypatch, hot):
+    rows = cut_and_appended()
+    if hot:  # one long group of copies of which each differs from the one before, and blocks and rounds for its shingles
+        rng = np.random.default_rng(22)
+        w = words(rng, 120, 5000).split()
+        for i in range(30):
+            w[int(rng.integers(0, 120))] = f"x{i}"
+            rows.append((1000 + i, " ".join(w)))
+        monkeypatch.setattr(near_text, "HOT_ROWS", hot)
+        monkeypatch.setattr(near_text, "OPEN_PAIRS", 1)
+    pairs, want = brute_near(rows)
+    text = dict(rows)
+    far = [bin(near_text.word_code(text[a].encode()) ^ near_text.word_code(text[b].encode())).count("1") for a, b in pairs]
+    assert sum(d > near_text.RADIUS for d in far) > 10
+    assert {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()} == want
+
+
+def test_bucket_pairs_lose_no_pair():
+    rng = np.random.default_rng(23)
+    sets = [np.unique(rng.integers(0, 1 << 63, 60).astype(np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.concatenate([s[: 60 - k], rng.integers(0, 1 << 63, k // 2).astype(np.uint64)])) for s in sets for k in (3, 6, 9, 12)]
+    counts = rng.integers(0, 9, 1 << near_text.COUNT_BITS).astype(np.uint32)
+    first = [near_text.prefix(s, counts, 0.8) for s in sets]
+    n = np.array([len(p) for p in first])
+    ids, k = np.repeat(np.arange(len(sets)), n), np.concatenate(first)
+    pos, size = np.concatenate([np.arange(x) for x in n]), np.repeat([len(s) for s in sets], n)
+    got = {p for u, v, whole in near_text.bucket_pairs(k, ids, ids, size, pos, 0.8, float("inf")) if whole for p in zip(u.tolist(), v.tolist())}
+    want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if near_text.jaccard(sets[a], sets[b]) >= 0.8}
+    assert len(want) > 40 and want <= got
+    for a, b in want:
+        far = np.bitwise_count(near_text.bitmap(sets[a]) ^ near_text.bitmap(sets[b])).sum()
+        assert far <= len(sets[a]) + len(sets[b]) - 2 * len(np.intersect1d(sets[a], sets[b]))
+
+
 def test_forest_is_minimal():
     u, v, d = np.array([1, 2, 1, 3]), np.array([2, 3, 3, 4]), np.array([3, 1, 2, 0])
     assert near_text.forest(u, v, d).tolist() == [1, 2, 3]

@@ -1,6 +1,6 @@
-"""Near-duplicate texts: SimHash finds candidates, exact shingle sets decide.
+"""Near-duplicate texts: every pair of similar shingle sets is found, exact sets decide.
 
-Each distinct text gets a SimHash over its set of distinct words, which moves
+SimHash joins most groups cheaply first.  Each distinct text gets a SimHash over its set of distinct words, which moves
 little under edits that change many shingles.  Pairs within ``radius`` bits are
 candidates: with m slices of the 64 bits, two such codes agree on m - radius of
 them, so codes meet in one bucket per choice of slices, and each bucket is
@@ -9,6 +9,14 @@ follows the number of codes, which keeps buckets small; what is found does not
 depend on it.  A bucket hands on a minimum spanning forest of its candidate pairs,
 nearest pairs first, instead of all pairs of a group; each pair of the forest is
 then decided by the Jaccard similarity of its sets of word shingles.
+
+What that misses, an exact join finds.  Two sets of the wanted similarity share one
+of the first shingles of each in any common order (the prefix filter); rare shingles
+come first, by counts of hashed buckets.  Texts of one group so far are not compared
+again; sizes, places in the order and parity bitmaps rule out most other pairs, none
+of them similar.  A shingle with very many pairs first compares one text per group
+with its neighbours in size, and goes on after groups have joined, until no pair of
+two groups is left undecided.
 """
 
 from __future__ import annotations
@@ -28,6 +36,10 @@ from .components import connected_components
 from .simhash import CHUNK_ROWS, GrayIndex, majority, shingle_hashes
 
 WORDS, SIMILARITY, RADIUS, SEED = 5, 0.8, 6, 42
+#: Bits of a bucket of the shingle counts and of a shard of them, bits of a text's bitmap.
+COUNT_BITS, SHARD_BITS, MAP_BITS = 21, 14, 2048
+#: Rows of a shingle that meet at once; pairs a row beyond which a shingle is taken in rounds; neighbours compared then.
+HOT_ROWS, OPEN_PAIRS, NEIGHBOURS = 4_000, 64, 4
 
 
 def forest(u: np.ndarray, v: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -67,8 +79,8 @@ def word_code(text: bytes) -> int:
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """Sorted 32-bit names of the distinct shingles."""
-    return np.unique((shingle_hashes(text, words, SEED) >> np.uint64(32)).astype(np.uint32))
+    """Sorted names of the distinct shingles."""
+    return np.unique(shingle_hashes(text, words, SEED))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -151,7 +163,7 @@ def _candidates(codes: DataFrame, radius: int, tables: list[list[tuple[int, int]
 def _decide(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            read = lambda c: [np.frombuffer(x, np.uint32) for x in b.column(c).to_pylist()]
+            read = lambda c: [np.frombuffer(x, np.uint64) for x in b.column(c).to_pylist()]
             good = [jaccard(x, y) >= similarity for x, y in zip(read(2), read(3), strict=True)]
             yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
@@ -159,6 +171,235 @@ def _decide(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _texts(b: pa.RecordBatch) -> Iterator[bytes]:
+    raw, offs = text_buffer(b.column(1))
+    data = raw.tobytes()
+    return (data[s:e] for s, e in zip(offs[:-1].tolist(), offs[1:].tolist()))
+
+
+def _bucket(names: np.ndarray) -> np.ndarray:
+    return (names >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _counts(rows: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all texts fall into each bucket: at least the texts that have a shingle of it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for b in batches:
+            sets = [shingle_set(t, words) for t in _texts(b)]
+            if sets:
+                total += np.bincount(_bucket(np.concatenate(sets)), minlength=len(total))
+        for i, part in enumerate(total.astype(np.uint32).reshape(-1, 1 << SHARD_BITS)):  # a task has fewer shingles than 2**32
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["shard", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[i] = sums.get(i, np.int64(0)) + np.frombuffer(x, np.uint32)
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.int64).tobytes() for x in sums.values()], pa.binary())], ["shard", "n"])
+
+    out = np.zeros((1 << (COUNT_BITS - SHARD_BITS), 1 << SHARD_BITS), np.int64)
+    kind = "shard int, n binary"
+    for r in rows.mapInArrow(count, kind).repartition("shard").mapInArrow(add, kind).collect():  # a fixed size
+        out[r["shard"]] = np.frombuffer(r["n"], np.int64)
+    return np.minimum(out.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def prefix(names: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles in the common order (count, name), of which similar sets share one."""
+    order = np.lexsort((names, counts[_bucket(names)]))
+    return names[order[: len(names) - int(np.ceil(similarity * len(names) - 1e-9)) + 1]]
+
+
+def bitmap(names: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per bit; bitmaps differ in no more bits than sets in shingles."""
+    return np.packbits((np.bincount((names & np.uint64(MAP_BITS - 1)).astype(np.int64), minlength=MAP_BITS) & 1).astype(np.uint8))
+
+
+def bucket_pairs(k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(u, v, whole): pairs of rows with equal k and different comp that may be similar; not whole if some were put off."""
+    order = np.lexsort((ids, size, comp, k))
+    k, comp, ids, size, pos = (x[order] for x in (k, comp, ids, size, pos))
+    new = np.concatenate(([True], k[1:] != k[:-1]))
+    g = np.cumsum(new) - 1
+    first = new | np.concatenate(([True], comp[1:] != comp[:-1]))  # of its group in the bucket
+    run = np.diff(np.append(np.flatnonzero(first), len(k))).astype(np.float64)
+    n = np.bincount(g).astype(np.float64)
+    cross = (n * n - np.bincount(g[first], weights=run * run)) / 2
+    wide = (cross > limit * n)[g]
+    for rows, steps in ((np.flatnonzero((cross > 0)[g] & ~wide), None), (np.flatnonzero(wide & first), NEIGHBOURS)):
+        if not len(rows):
+            continue
+        rows = rows[np.lexsort((ids[rows], size[rows], g[rows]))]
+        live, d = np.arange(len(rows) - 1), 1
+        while len(live) and (steps is None or d <= steps):
+            live = live[live + d < len(rows)]
+            a, b = rows[live], rows[live + d]
+            # Sizes ascend in a bucket, so a row whose partner is too large has no later one.
+            on = (g[a] == g[b]) & (size[a] >= similarity * size[b] - 1e-9)
+            live, a, b = live[on], a[on], b[on]
+            need = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9
+            ok = (comp[a] != comp[b]) & (1 + np.minimum(size[a] - pos[a] - 1, size[b] - pos[b] - 1) >= need)
+            yield np.minimum(ids[a[ok]], ids[b[ok]]), np.maximum(ids[a[ok]], ids[b[ok]]), True
+            d += 1
+    if wide.any():
+        yield ids[:0], ids[:0], False
+
+
+def _meet(packed: DataFrame, comps: DataFrame, hot: dict[int, int], similarity: float, limit: float) -> DataFrame:
+    """(u, v) of ``bucket_pairs`` over all prefixes; a row of nulls if pairs were put off."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, comp, size, names in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
+                k = np.frombuffer(names, np.uint64)
+                pos = np.arange(len(k))
+                for at in [j for j, x in enumerate(k.tolist()) if x in hot] if hot else []:  # each two blocks of a hot shingle meet
+                    m = hot[int(k[at])]
+                    mine = int(_mix(np.array([i], np.int64).view(np.uint64))[0]) % m
+                    blocks = np.array([min(mine, c) * m + max(mine, c) + 1 for c in range(m)], np.uint64)
+                    more = _mix(k[at] ^ _mix(blocks))
+                    k = np.concatenate([k, more[1:]])
+                    pos = np.concatenate([pos, np.full(m - 1, at)])
+                    k[at] = more[0]
+                n = len(k)
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(np.full(n, comp)), pa.array(np.full(n, i)), pa.array(np.full(n, size, np.int32)), pa.array(pos.astype(np.int32))], kind)
+
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in spread(batches):
+            held.append(b)
+            if len(held) >= 256:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(held):
+            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+            k = cols[0]
+            same = k[1:] == k[:-1]
+            many = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+            if not many.any():
+                return
+            us, vs, at, put_off = [], [], 0, False
+            for u, v, whole in bucket_pairs(*(x[many] for x in cols), similarity, limit):
+                us.append(u)
+                vs.append(v)
+                at += len(u)
+                put_off |= not whole
+                if at > 2_000_000:
+                    yield unique(us, vs)
+                    us, vs, at = [], [], 0
+            if at:
+                yield unique(us, vs)
+            if put_off:
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2, ["u", "v"])
+
+        def unique(us, vs):
+            both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["u", "v"])
+
+        held, rows = [], 0
+        for b in batches:
+            if not len(b):
+                continue
+            cols = tuple(b.column(i).to_numpy() for i in range(5))
+            if rows >= CHUNK_ROWS:  # the held rows end where a bucket ends
+                inside = cols[0] != held[-1][0][-1]
+                cut = int(np.argmax(inside)) if inside.any() else len(inside)
+                held.append(tuple(c[:cut] for c in cols))
+                cols = tuple(c[cut:] for c in cols)
+                rows += cut
+                if len(cols[0]):
+                    yield from run(held)
+                    held, rows = [], 0
+            if len(cols[0]):
+                held.append(cols)
+                rows += len(cols[0])
+        if held:
+            yield from run(held)
+
+    kind = ["k", "comp", "id", "size", "pos"]
+    rows = packed.select("id", "size", "names").join(comps, "id").select("id", "comp", "size", "names")
+    rows = rows.mapInArrow(packs, "k long, comp long, id long, size int, pos int")
+    return rows.repartition("k").sortWithinPartitions("k").mapInArrow(search, "u long, v long").distinct()
+
+
+def _possible(pairs: DataFrame, packed: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not len(b):
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(len(b), -1) for c in (2, 3))
+            far = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            most = (1 - similarity) / (1 + similarity) * (b.column(4).to_numpy() + b.column(5).to_numpy()) + 1e-9
+            yield b.select([0, 1]).filter(pa.array(far <= most))
+
+    side = lambda c, m, n: packed.select(F.col("id").alias(c), F.col("map").alias(m), F.col("size").alias(n))
+    both = pairs.join(side("u", "a", "na"), "u").join(side("v", "b", "nb"), "v")
+    return both.select("u", "v", "a", "b", "na", "nb").mapInArrow(run, "u long, v long")
+
+
+def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``links`` (u, v) and more: components are those of all pairs of ``similarity`` among the texts of ``owners`` (id)."""
+    counts, hot_rows = _counts(rows, words), HOT_ROWS
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, names, often, maps = [], [], [], []
+            for t in _texts(b):
+                s = shingle_set(t, words)
+                p = prefix(s, counts, similarity)
+                size.append(len(s))
+                names.append(p.tobytes())
+                often.append(p[counts[_bucket(p)] > hot_rows].view(np.int64).tolist())
+                maps.append(bitmap(s).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int32()), pa.array(names, pa.binary()), pa.array(often, pa.list_(pa.int64())), pa.array(maps, pa.binary())], ["id", "size", "names", "often", "map"])
+
+    packed = rows.mapInArrow(pack, "id long, size int, names binary, often array<long>, map binary")
+    packed = materialize(packed.filter("size > 0").dropDuplicates(["id"]), "prefixes")
+    often = packed.filter("size(often) > 0").select(F.explode("often").alias("k")).groupBy("k").count().filter(F.col("count") > hot_rows)
+    hot = {r["k"] & 0xFFFFFFFFFFFFFFFF: -(-r["count"] // hot_rows) for r in often.collect()}
+    limit = OPEN_PAIRS
+    while True:
+        roots = connected_components(links).withColumnRenamed("u", "id")
+        comps = owners.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("comp"))
+        met = materialize(_meet(packed, comps, hot, similarity, limit), "met")
+        pairs = materialize(_possible(met.filter("u is not null"), packed, similarity), "pairs")
+        more = materialize(_decide(pairs, _sets(rows, pairs, words), similarity), "links")
+        links = links.union(more)
+        if met.filter("u is null").isEmpty():
+            return links
+        if more.isEmpty():
+            limit = float("inf")  # nothing joins any more: decide all
+
+
+def _sets(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(id, set) of the texts that ``pairs`` name."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [shingle_set(t, words).tobytes() for t in _texts(b)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["id", "set"])
+
+    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    return materialize(rows.join(asked, "id").mapInArrow(sets, "id long, set binary").dropDuplicates(["id"]), "sets")
+
+
 def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id): the ids that are not the smallest of their group of near duplicates.
 
@@ -193,17 +434,8 @@ def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMIL
     same = owners.join(least.withColumnRenamed("id", "own"), "code").filter("id <> own").select(F.col("own").alias("u"), F.col("id").alias("v"))
     least = materialize(least, "codes")
     pairs = materialize(same.union(_candidates(least, radius, choices(least.count(), radius))).distinct(), "pairs")
-    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offs = text_buffer(b.column(1))
-            data = raw.tobytes()
-            out = [shingle_set(data[s:e], words).tobytes() for s, e in zip(offs[:-1].tolist(), offs[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["id", "set"])
-
-    found = materialize(rows.join(asked, "id").mapInArrow(sets, "id long, set binary").dropDuplicates(["id"]), "sets")
-    links = materialize(_decide(pairs, found, similarity), "links")
+    links = materialize(_decide(pairs, _sets(rows, pairs, words), similarity), "links")
+    links = exact_links(rows, owners, links, words, similarity)
     roots = connected_components(links)
     return copies.union(roots.filter("u <> root").select("u")).distinct().select(F.col("id").alias(id_col))
 
