@@ -223,6 +223,18 @@ def test_near_texts_beyond_the_radius(spark, monkeypatch, hot):
     assert {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()} == want
 
 
+def test_near_texts_of_one_code(spark):
+    """The smallest id of a code is unlike the others, of which two are alike."""
+    rng = np.random.default_rng(24)
+    base = [f"w{i}" for i in range(200)]
+    other = rng.permutation(base).tolist()
+    rows = [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(other + other[:1]))]
+    assert len({near_text.word_code(t.encode()) for _, t in rows}) == 1
+    pairs, want = brute_near(rows)
+    assert pairs == [(2, 3)]
+    assert {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()} == want
+
+
 def test_bucket_pairs_lose_no_pair():
     rng = np.random.default_rng(23)
     sets = [np.unique(rng.integers(0, 1 << 63, 60).astype(np.uint64)) for _ in range(40)]
