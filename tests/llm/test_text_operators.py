@@ -305,6 +305,20 @@ def test_pieces_without_dropout_equal_the_library():
     assert coder.encode(texts, [0] * len(texts)) == sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
 
 
+def test_dropout_is_drawn_per_occurrence():
+    coder = pieces.Pieces(token_counts.vocabulary_path("piece_bpe_32k.model"), dropout=0.4)
+    text = " ".join(["internationally"] * 40)
+    n = len({tuple(coder.segment(["\u2581internationally"], np.array([d], np.uint64))[0]) for d in range(40)})
+    got = coder.encode([text], [7])[0]
+    cuts, word = set(), []
+    for x in got:
+        if coder.names[x].startswith("\u2581") and word:
+            cuts.add(tuple(word))
+            word = []
+        word.append(x)
+    assert n > 4 and len(cuts) > 4 and coder.decode(got) == text
+
+
 def test_dropout_varies_and_decodes(spark):
     texts = [*ODD, "international organisation of standards " * 20]
     one, two = ([tuple(r["pieces"]) for r in pieces.encode_pieces(docs(spark, list(enumerate(texts))), dropout=0.4, seed=s).orderBy("doc_id").collect()] for s in (1, 2))

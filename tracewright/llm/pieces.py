@@ -3,11 +3,10 @@
 Pieces never hold the word mark behind another character, so words are segmented
 apart.  All words of a batch merge together: in every round each word takes its
 best candidate, the adjacent pair whose union has the best rank, leftmost first.
-A candidate is skipped for good if the hash of the seed, the word, its variant and
-the candidate's place says so; a later merge that changes a neighbour makes a new
-candidate.  The variant of a word follows from its document and its position, so
-one word is cut in different ways at different places, yet every run gives the
-same pieces.  Characters without a piece become byte pieces, and decoding gives
+A candidate is skipped for good if the hash of the seed, the word, its document and
+position and the candidate's place says so; a later merge that changes a neighbour
+makes a new candidate.  Every occurrence of a word is drawn by itself, yet every run
+gives the same pieces.  Characters without a piece become byte pieces, and decoding gives
 the text back.
 """
 
@@ -15,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .token_counts import vocabulary_path
 
-DROPOUT, SEED, VARIANTS, MEMORY, BATCH, CELLS = 0.1, 42, 2, 250_000, 20_000, 400_000
+DROPOUT, SEED, MEMORY, BATCH, CELLS = 0.1, 42, 250_000, 20_000, 400_000
 MARK = "▁"
 _CHUNKS = re.compile(MARK + "+[^" + MARK + "]*|[^" + MARK + "]+")
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -62,7 +61,7 @@ class Pieces:
         self.surface = [bytes([int(p[1:-1], 16)]) if model.is_byte(i) else b"" if special[i] else p.encode() for i, p in enumerate(self.names)]
         self.dropout = np.uint64(min(1.0, max(0.0, dropout)) * (1 << 32))
         self.seed = np.uint64(seed)
-        self.memory: dict[int, dict[str, tuple[int, ...]]] = {}
+        self.memory: dict[str, tuple[int, ...]] = {}  # without dropout only
 
     def _table(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Open addressing with few probes, filled by rounds."""
@@ -93,8 +92,9 @@ class Pieces:
             at[todo] += 1
         return out
 
-    def segment(self, words: list[str], variant: int = 0) -> list[tuple[int, ...]]:
-        """Pieces of words, many at once, those of similar length together."""
+    def segment(self, words: list[str], draws: np.ndarray | None = None) -> list[tuple[int, ...]]:
+        """Pieces of words, many at once, those of similar length together; each is cut by its own draw."""
+        draws = np.zeros(len(words), np.uint64) if draws is None else draws
         out: list[tuple[int, ...]] = [()] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         at = 0
@@ -102,12 +102,12 @@ class Pieces:
             end = min(len(order), at + BATCH)
             while end > at + 1 and len(words[order[end - 1]]) * (end - at) > CELLS:
                 end = at + max(1, (end - at) // 2)
-            for i, got in zip(order[at:end], self._segment([words[i] for i in order[at:end]], variant), strict=True):
+            for i, got in zip(order[at:end], self._segment([words[i] for i in order[at:end]], draws[order[at:end]]), strict=True):
                 out[i] = got
             at = end
         return out
 
-    def _segment(self, words: list[str], variant: int) -> list[tuple[int, ...]]:
+    def _segment(self, words: list[str], draws: np.ndarray) -> list[tuple[int, ...]]:
         """One batch.  Symbols are columns' cells linked to their live neighbours; cell i of a word begins at character i."""
         n = len(words)
         lens = np.fromiter(map(len, words), np.int64, n)
@@ -117,7 +117,7 @@ class Pieces:
         sym.T[inside.T] = self.character[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
         whole = np.arange(wide)[:, None]
         after, before = np.where(whole + 1 < lens, whole + 1, -1), np.broadcast_to(whole - 1, (wide, n)).copy()
-        key = _mix(np.array([xxhash.xxh64_intdigest(w, variant) for w in words], np.uint64) ^ self.seed)
+        key = _mix(_mix(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64) ^ self.seed) ^ draws)
         none = np.int64(1) << np.int64(60)
 
         def candidates(row: np.ndarray, at: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -197,26 +197,19 @@ class Pieces:
         """The words of a text with spaces as marks and one mark put before the text."""
         return _CHUNKS.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode(self, texts: list[str], variants: list[int], modulus: int = VARIANTS) -> list[list[int]]:
-        """Piece ids of texts; the variant of word k of a text is (its start + k) modulo ``modulus``."""
+    def encode(self, texts: list[str], starts: list[int]) -> list[list[int]]:
+        """Piece ids of texts; every occurrence of a word has its own draw, from its text's start and its position."""
         cut = [self.words(t) for t in texts]
-        for r in range(modulus):
-            memory = self.memory.setdefault(r, {})
-            if len(memory) > MEMORY:
-                memory.clear()
-            new: set[str] = set()
-            for w, v in zip(cut, variants, strict=True):
-                new.update(w[(r - v) % modulus :: modulus])
-            fresh = list(new.difference(memory))
-            memory.update(zip(fresh, self.segment(fresh, r), strict=True))
-        out = []
-        for w, v in zip(cut, variants, strict=True):
-            got: list = [()] * len(w)
-            for r in range(modulus):
-                at = (r - v) % modulus
-                got[at::modulus] = map(self.memory[r].__getitem__, w[at::modulus])
-            out.append(list(chain.from_iterable(got)))
-        return out
+        if self.dropout:
+            flat = list(chain.from_iterable(cut))
+            draws = [_mix(_mix(np.array([v], np.uint64)) + np.arange(1, len(w) + 1, dtype=np.uint64)) for w, v in zip(cut, starts, strict=True)]
+            got = iter(self.segment(flat, _mix(np.concatenate(draws)))) if flat else iter(())
+            return [list(chain.from_iterable(islice(got, len(w)))) for w in cut]
+        if len(self.memory) > MEMORY:
+            self.memory.clear()
+        fresh = list(set(chain.from_iterable(cut)).difference(self.memory))
+        self.memory.update(zip(fresh, self.segment(fresh), strict=True))
+        return [list(chain.from_iterable(map(self.memory.__getitem__, w))) for w in cut]
 
     def decode(self, ids: list[int]) -> str:
         """The text of piece ids; a text that itself holds the mark comes back with spaces for it."""
@@ -224,10 +217,10 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
-def encode_pieces(docs: DataFrame, model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, pieces (ids), decoded (the text made from them).
 
-    The variants of a row follow from its id, 0 for a null id.  Null and empty
+    The draws of a row follow from its id, from 0 for a null id.  Null and empty
     texts have no pieces.  Other columns are not read; repeated rows give repeated
     results and an empty table none.
     """
@@ -238,8 +231,8 @@ def encode_pieces(docs: DataFrame, model: str = "piece_bpe_32k.model", dropout:
             for lo in range(0, len(b), 256):
                 part = b.slice(lo, 256)
                 texts = [x or "" for x in part.column(1).to_pylist()]
-                start = [0 if i is None else xxhash.xxh32_intdigest(str(i), seed & 0xFFFFFFFF) % variants for i in part.column(0).to_pylist()]
-                ids = coder.encode(texts, start, variants)
+                start = [0 if i is None else xxhash.xxh64_intdigest(str(i), seed & 0xFFFFFFFF) for i in part.column(0).to_pylist()]
+                ids = coder.encode(texts, start)
                 flat = np.fromiter(chain.from_iterable(ids), np.int32)
                 offs = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 pieces = pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))
