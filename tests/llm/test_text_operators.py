@@ -478,3 +478,50 @@ def test_classifiers_without_labels_or_rows(spark, run, label):
     d, lab = labelled(spark, 20)
     assert run(docs(spark, []), lab).count() == 0
     assert run(d, lab.filter(F.col(label) == 1)).count() == d.count()
+
+
+def test_archives_are_read_in_linear_time():
+    record = warc.to_warc(next(warc.read_arc(warc.write_arc([], 1))))
+    one = warc.member(record)
+    fed = []
+
+    class Counting:
+        def __init__(self, d):
+            self.d = d
+
+        def decompress(self, part):
+            fed.append(len(part))
+            return self.d.decompress(part)
+
+        eof = property(lambda self: self.d.eof)
+        unused_data = property(lambda self: self.d.unused_data)
+
+    make = warc.zlib.decompressobj
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(warc.zlib, "decompressobj", lambda bits: Counting(make(bits)))
+        assert len(list(warc.read_warc(one * 500))) == 500
+    assert max(fed) <= warc.FEED and sum(fed) <= 500 * (warc.FEED + len(one))
+    with pytest.raises(ValueError):
+        list(warc.members((one * 3)[:-4]))
+
+
+def test_revisits_state_the_page_that_they_refer_to():
+    record = warc.to_warc(list(warc.read_arc(warc.write_arc([("http://a", "text/html", b"HTTP/1.1 200 OK\r\n\r\nx")], 2)))[1])
+    revisit = warc.to_revisit(record, 7)
+    assert warc.referred_page(revisit.headers) == 7
+    assert warc.referred_page(revisit.headers | {"WARC-Refers-To": warc.page_record_id(8)}) is None
+
+
+def test_hot_payloads_get_their_role(spark):
+    from tracewright.llm.common import join_hot
+
+    rows = [(i, "same" if i % 3 else f"{i % 50}") for i in range(600)] + [(None, "same"), (None, "same"), (7, "same")]
+    got = warc.roles(spark.createDataFrame(rows, "page_id long, html string").selectExpr("page_id", "'u' as url", "html")).collect()
+    last = {}
+    for i, h in rows:
+        last[h] = max(last.get(h, -1), -1 if i is None else i)
+    assert sorted((r["page_id"] or -1, bytes(r["html"]).decode(), r["refers_to"]) for r in got) == sorted((i or -1, h, None if i == last[h] else last[h]) for i, h in rows)
+    side = spark.createDataFrame([("a", 90, 1), ("b", 5, 2), ("c", 5, 3)], "k string, n long, x int")
+    left = spark.createDataFrame([(k,) for k in "a" * 90 + "b" * 5 + "c" * 5 + "d"], "k string")
+    for parts in (1, 4, 1000):
+        assert sorted(map(tuple, join_hot(left, side, "k", parts).groupBy("k", "x").count().collect())) == [("a", 1, 90), ("b", 2, 5), ("c", 3, 5)]

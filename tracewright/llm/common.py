@@ -49,6 +49,22 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def join_hot(rows: DataFrame, side: DataFrame, key: str, parts: int = 2_000) -> DataFrame:
+    """Inner join of ``rows`` with ``side`` (unique ``key``, and n, its rows among ``rows``; n is dropped).
+
+    Keys with more than one in ``parts`` of all matched rows number fewer than
+    ``parts``, so that part of ``side`` is broadcast; the rest is joined by shuffle,
+    where no key gathers more than that share.
+    """
+    spark = rows.sparkSession
+    total = side.agg(F.sum("n")).first()[0] or 0
+    limit = max(1, total // parts)
+    hot = spark.createDataFrame(side.filter(F.col("n") > limit).drop("n").collect(), side.drop("n").schema)  # fewer than ``parts`` rows
+    known = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    rest = rows.join(known, F.col(key) == F.col("_hot"), "left_anti").join(side.filter(F.col("n") <= limit).drop("n"), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def held_out(id_col):
     """True for the fold that is never learned from."""
     return F.crc32(id_col.cast("string").cast("binary")) % FOLDS == 0

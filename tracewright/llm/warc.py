@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import join_hot, materialize, shared_path
 
 #: Field names of a header line by version (fixed by the format).
 FIELDS = {
@@ -32,7 +32,9 @@ FIELDS = {
 }
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES, CHUNK_ROWS, DATE = 32 << 20, 500, "20240101000000"
-_PAGE = "X-Page-Id"
+#: Bytes that the decompressor gets at once; what is left of them behind a member is copied.
+FEED = 1 << 14
+_PAGE, _REFERS = "X-Page-Id", "X-Refers-To-Page-Id"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -151,19 +153,38 @@ def to_warc(record: ArcRecord) -> WarcRecord:
     return WarcRecord(headers, body)
 
 
-def to_revisit(record: WarcRecord, refers_to: str) -> WarcRecord:
-    """The record without its payload, pointing at the one that has it."""
+def to_revisit(record: WarcRecord, page_id: int) -> WarcRecord:
+    """The record without its payload, pointing at that of the page that has it."""
     head = record.block.partition(b"\r\n\r\n")[0] + b"\r\n\r\n"
-    return WarcRecord(record.headers | {"WARC-Type": "revisit", "WARC-Profile": IDENTICAL, "WARC-Refers-To": refers_to, "WARC-Block-Digest": f"sha1:{base32_sha1(head)}"}, head)
+    more = {"WARC-Type": "revisit", "WARC-Profile": IDENTICAL, "WARC-Refers-To": page_record_id(page_id), _REFERS: str(page_id), "WARC-Block-Digest": f"sha1:{base32_sha1(head)}"}
+    return WarcRecord(record.headers | more, head)
+
+
+def referred_page(headers: dict[str, str]) -> int | None:
+    """The page that a revisit refers to, if its record has the name that the revisit states."""
+    page = headers.get(_REFERS)
+    return int(page) if page and page_record_id(int(page)) == headers.get("WARC-Refers-To") else None
+
+
+def members(data: bytes) -> Iterator[bytes]:
+    """The gzip members of an archive, one by one, in time linear in its length."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        d, out = zlib.decompressobj(31), []
+        while not d.eof and at < len(view):
+            part = view[at : at + FEED]
+            out.append(d.decompress(part))
+            at += len(part) - len(d.unused_data)
+        if not d.eof:
+            raise ValueError("the archive ends inside a member")
+        yield b"".join(out)
 
 
 def read_warc(data: bytes) -> Iterator[WarcRecord]:
     """Records of an archive of gzip members, or of one that is not compressed."""
     if data[:2] == b"\x1f\x8b":
-        while data:
-            d = zlib.decompressobj(31)
-            yield from read_warc(d.decompress(data))
-            data = d.unused_data
+        for x in members(data):
+            yield from read_warc(x)
         return
     at = 0
     while at < len(data):
@@ -183,22 +204,26 @@ def member(record: WarcRecord, level: int = 3) -> bytes:
 
 
 def roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``pages`` (page_id, url, html) with refers_to: the largest page_id with an equal payload, null for that one and below ``min_bytes``."""
+    """``pages`` (page_id, url, html) with refers_to: the largest page_id with an equal payload, null for that one and below ``min_bytes``.
+
+    Only ids and digests meet by digest; payloads travel once, to the roles of the
+    rows that revisit.  A digest of very many pages is looked up in a table of
+    bounded size instead of gathering its rows.
+    """
     body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("html")).withColumn("sha", F.sha1("html"))
-    first = rows.filter(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.max("page_id").alias("first"))
-    ids = rows.select("page_id", "sha").distinct().join(first, "sha", "left")
-    ids = ids.select("page_id", "sha", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"))
-    known = rows.filter("page_id is not null").join(ids.filter("page_id is not null"), ["page_id", "sha"]).select("page_id", "url", "html", "refers_to")
-    lost = rows.filter("page_id is null").join(first, "sha", "left").select("page_id", "url", "html", F.col("first").alias("refers_to"))
-    return known.unionByName(lost)
+    ids = materialize(rows.filter(F.octet_length("html") >= min_bytes).groupBy("page_id", "sha").count(), "digests")
+    first = ids.groupBy("sha").agg(F.max("page_id").alias("first"), F.sum("count").alias("n")).filter("n > 1 and first is not null")
+    role = join_hot(ids, first, "sha").filter("page_id is null or first <> page_id").select(F.col("page_id").alias("_page"), F.col("sha").alias("_sha"), F.col("first").alias("refers_to"))
+    return rows.join(role, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("sha") == F.col("_sha")), "left").select("page_id", "url", "html", "refers_to")
 
 
 def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Convert rows with refers_to through ARC to WARC archives in ``folder``; returns (path, records).
 
-    Files get their final name by a rename when complete, and the name depends on
-    the partition alone, so a task that runs again replaces its own files.
+    Files get their final name by a rename when complete.  The name and the bytes
+    depend on the partition alone, so a task that runs again leaves the files that
+    it finds and makes the others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +242,10 @@ def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -
                 store.create_dir(root, recursive=True)
                 with store.open_output_stream(temp, compression=None) as f:
                     f.write(b"".join(out))
-                store.move(temp, final)
+                if store.get_file_info(final).type == fs.FileType.NotFound:
+                    store.move(temp, final)
+                else:  # an earlier run of this task has made it
+                    store.delete_file(temp)
                 made.append((final, len(out)))
                 out, size, number = [], 0, number + 1
 
@@ -233,7 +261,7 @@ def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -
                 for i, old in enumerate(read_arc(arc)):
                     new = to_warc(old)
                     if i and rows[i - 1]["refers_to"] is not None:
-                        new = to_revisit(new, page_record_id(rows[i - 1]["refers_to"]))
+                        new = to_revisit(new, rows[i - 1]["refers_to"])
                     if i or not out:
                         out.append(member(new))
                         size += len(new.block)
@@ -247,7 +275,7 @@ def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -
 
 def read_archives(spark, folder: str) -> DataFrame:
     """One row per response, resource or revisit record of the archives in ``folder``."""
-    kind = "record_id string, record_type string, page_id long, url string, date string, payload_bytes long, payload_digest string, refers_to_id string, digest_ok boolean"
+    kind = "record_id string, record_type string, page_id long, url string, date string, payload_bytes long, payload_digest string, refers_to_id string, refers_to long, digest_ok boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -262,7 +290,7 @@ def read_archives(spark, folder: str) -> DataFrame:
                     whole = h["WARC-Type"] != "revisit"
                     size = len(r.payload) if whole else int(got["content-length"])
                     page = got.get(_PAGE.lower())
-                    rows.append((h["WARC-Record-ID"], h["WARC-Type"], int(page) if page else None, h["WARC-Target-URI"], h["WARC-Date"], size, digest, h.get("WARC-Refers-To"), base32_sha1(r.payload) == digest if whole else None))
+                    rows.append((h["WARC-Record-ID"], h["WARC-Type"], int(page) if page else None, h["WARC-Target-URI"], h["WARC-Date"], size, digest, h.get("WARC-Refers-To"), None if whole else referred_page(h), base32_sha1(r.payload) == digest if whole else None))
                 if rows:
                     names = [x.split()[0] for x in kind.split(", ")]
                     types = [{"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}[x.split()[1]] for x in kind.split(", ")]
@@ -287,6 +315,4 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int =
     if not made:
         kind = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
         return spark.createDataFrame([], kind)
-    records = read_archives(spark, folder)
-    named = records.filter("record_type <> 'revisit' and page_id is not null").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")).distinct()
-    return records.join(named, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
