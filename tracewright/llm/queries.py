@@ -74,6 +74,7 @@ def op9_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("pieces").cast("long").alias("n_pieces"),
         F.sha2(F.array_join(F.col("pieces").cast("array<string>"), " "), 256).alias("pieces_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        "lossless",
     )
 
 
