@@ -61,7 +61,7 @@ def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 

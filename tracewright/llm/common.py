@@ -56,13 +56,15 @@ def join_hot(rows: DataFrame, side: DataFrame, key: str, parts: int = 2_000) ->
     ``parts``, so that part of ``side`` is broadcast; the rest is joined by shuffle,
     where no key gathers more than that share.
     """
-    spark = rows.sparkSession
     total = side.agg(F.sum("n")).first()[0] or 0
     limit = max(1, total // parts)
-    hot = spark.createDataFrame(side.filter(F.col("n") > limit).drop("n").collect(), side.drop("n").schema)  # fewer than ``parts`` rows
-    known = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    hot = side.filter(F.col("n") > limit).drop("n").collect()  # fewer than ``parts`` rows
+    if not hot:
+        return rows.join(side.drop("n"), key)
+    few = F.broadcast(rows.sparkSession.createDataFrame(hot, side.drop("n").schema))
+    known = few.select(F.col(key).alias("_hot"))
     rest = rows.join(known, F.col(key) == F.col("_hot"), "left_anti").join(side.filter(F.col("n") <= limit).drop("n"), key)
-    return rows.join(F.broadcast(hot), key).unionByName(rest)
+    return rows.join(few, key).unionByName(rest)
 
 
 def held_out(id_col):

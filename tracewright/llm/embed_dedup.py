@@ -1,19 +1,26 @@
 """Near-duplicate vectors by spherical k-means cells and blocked cosine products.
 
 Vectors of one label that are equal collapse to one with a count.  Every other
-vector has a home cell, the centre of largest cosine, and visits each cell whose
-bisecting plane with its home is near enough that a linked vector could live
-there; so all links of a vector show in its home cell and none is lost.  Cells
-are compared in blocks of home rows against all rows of the cell.  A task returns
-each home row's number of links and a spanning forest, never all pairs.
-
-Centres are fitted on a bounded sample; the assignment, and what is compared,
-cover all rows.
+vector has a home cell, the centre of largest cosine among its label's centres.
+The ends of a link lie at most a chord apart, so if they have different homes one
+of them is within half a chord of the plane between these: a vector visits each
+cell whose plane with its home is that near, and no link is lost.  A link shows
+where both ends are at home, or else in the home of one that the other visits;
+if each visits the other's, the smaller cell counts it.
+
+Cells are cut into blocks of bounded size and each two blocks are compared by one
+task, in smaller products.  A task returns each row's number of links and a
+spanning forest, never all pairs.
+
+Centres are fitted on a bounded sample, per label for the labels that hold much of
+the table and for all others together; the assignment, and what is compared, cover
+all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ann import matrix, valid_vectors
-from .common import materialize
+from .common import join_hot, materialize
 from .components import connected_components, spanning
 
-COSINE, SAMPLE, CELL_ROWS, MOST_CELLS, HOMES, BLOCK = 0.93, 8192, 4096, 1024, 4096, 512
+#: Rows of the sample, rows per cell, most cells of a label, labels with centres of their own, rows of a block and of a product.
+COSINE, SAMPLE, CELL_ROWS, MOST_CELLS, OWN_LABELS, TILE, BLOCK = 0.93, 16_384, 64, 1024, 64, 4096, 512
+#: Cosines this near to the limit are decided by one exact sum; cells of many rows up to which their table is broadcast.
+EDGE, FEW_CELLS = 1e-9, 10_000
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 3) -> np.ndarray:
@@ -41,39 +51,93 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 3) ->
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; components are scaled first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """Cosine by correctly rounded sums, the same for (a, b) and (b, a)."""
+    return fsum((a * b).tolist()) / np.sqrt(fsum((a * a).tolist()) * fsum((b * b).tolist()))
+
+
 def cells_of(x: np.ndarray, centres: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """(home cell, rows x cells mask of the cells that each unit vector enters)."""
     dots = x @ centres.T
     home = np.argmax(dots, axis=1)
-    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
-    reach = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9  # longest chord of a link
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
+    reach = np.sqrt(max(0.0, 2 - 2 * cosine)) / 2 + 1e-6  # half the longest chord of a link
     gap = dots[np.arange(len(x)), home][:, None] - dots
-    enters = gap <= reach * apart[home]
+    enters = gap <= reach * apart[home] + 1e-6
     enters[np.arange(len(x)), home] = True
     return home, enters
 
 
-def links_in_cell(homes: np.ndarray, ids: np.ndarray, x: np.ndarray, counts: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(links of each home row, and forest edges u, v); ``homes`` are positions among the rows."""
-    links = np.zeros(len(homes), np.int64)
-    u, v = [], []
-    for lo in range(0, len(homes), BLOCK):
-        h = homes[lo : lo + BLOCK]
-        hit = x[h] @ x.T >= cosine
-        hit[np.arange(len(h)), h] = False
-        links[lo : lo + BLOCK] = hit @ counts
-        a, b = np.nonzero(hit)
-        if len(a):
-            p, q = spanning(ids[h[a]], ids[b])
+def tile_links(
+    cell: int, a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...] | None, cosine: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(links of rows of a, links of rows of b, forest edges u, v) between two blocks of a cell, or inside one.
+
+    A block is (ids, unit vectors, counts, homes, mask of the cells entered).
+    """
+    ids, x, n, home, enters = a
+    ids2, x2, n2, home2, enters2 = b or a
+    links, links2 = np.zeros(len(ids), np.int64), np.zeros(len(ids2), np.int64)
+    u, v = [ids[:0]], [ids[:0]]
+    for lo in range(0, len(ids), BLOCK):
+        h = slice(lo, min(len(ids), lo + BLOCK))
+        cos = x[h] @ x2.T
+        hit = cos >= cosine
+        for i, j in zip(*np.nonzero(np.abs(cos - cosine) < EDGE), strict=True):
+            hit[i, j] = exact_cosine(x[lo + i], x2[j]) >= cosine
+        if b is None:
+            hit &= np.arange(lo, lo + len(hit))[:, None] < np.arange(len(ids2))
+        # Both visit: their homes see it.  One visits: only if the other does not enter the visitor's home, or that is a larger cell.
+        one, two = home[h] == cell, home2 == cell
+        hit &= one[:, None] | two
+        if hit.any():
+            skip = ~two & one[:, None] & enters[h][:, home2] & (home2 < cell)
+            skip |= ~one[:, None] & two & enters2[:, home[h]].T & (home[h] < cell)[:, None]
+            hit &= ~skip
+            links[h] += hit @ n2
+            links2 += n[h] @ hit
+            i, j = np.nonzero(hit)
+            p, q = spanning(ids[h][i], ids2[j]) if len(i) else (ids[:0], ids[:0])
             u.append(p[p != q])
             v.append(q[p != q])
-    if not u:
-        return links, ids[:0], ids[:0]
-    p, q = spanning(np.concatenate(u), np.concatenate(v))
-    return links, p[p != q], q[p != q]
+    p, q = np.concatenate(u), np.concatenate(v)
+    if len(p):
+        p, q = spanning(p, q)
+    return links, links2, p[p != q], q[p != q]
+
+
+def _centres(same: DataFrame, sample: int, cell_rows: int, cosine: float) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """(centres of the labels that hold at least one in ``OWN_LABELS`` of the rows, centres of all others)."""
+    total = same.count()
+    sizes = same.groupBy("label").count().filter(F.col("count") * OWN_LABELS >= total).collect()  # at most OWN_LABELS rows
+    own = {r["label"]: r["count"] for r in sizes}
+    rest = same.filter(~F.col("label").isin(list(own))) if own else same
+    most, left = rest.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    # A row is drawn by its hash; the share of each kind of label makes about ``sample`` rows in all, and no more come.
+    each = sample / (len(own) + 1)
+    share = F.lit(each / max(1, left))
+    for k, n in own.items():
+        share = F.when(F.col("label") == k, each / n).otherwise(share)
+    drawn = same.filter(F.pmod(F.xxhash64(F.lit(5), "rep"), F.lit(1 << 20)) < share * (1 << 20))
+    picked = drawn.select("label", "vec").limit(2 * sample).toArrow()
+    label, x = np.array(picked.column("label").to_pylist(), np.int64), matrix(picked.column("vec").combine_chunks())
+    x = unit(x) if len(x) else x
+
+    def fit(rows: np.ndarray, n: int) -> np.ndarray:
+        return spherical_kmeans(rows, int(min(MOST_CELLS, max(1, n // cell_rows), len(rows))))
+
+    other = x[~np.isin(label, list(own))]
+    return {k: fit(x[label == k], n) for k, n in own.items() if (label == k).any()}, fit(other, most) if len(other) else np.zeros((1, x.shape[1]))
+
+
+def kept_type(kind) -> str:
+    """Vectors of floats travel as floats; they are exact as doubles whenever they are computed with."""
+    return "array<float>" if kind.simpleString() == "array<float>" else "array<double>"
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -84,58 +148,68 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     with a null label or a null id.  Rows that repeat a vec_id count as separate
     vectors with one name.  An empty table gives no row.
     """
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("vec"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast(kept_type(vectors.schema["embedding"].dataType)).alias("vec"))
     fine = valid_vectors(rows.withColumnRenamed("vec", "embedding").filter("label is not null").select("vec_id", "embedding"))
     dim = fine.select(F.size("vec")).first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    alone = lambda df: df.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if dim is None:
-        return alone
+        return alone(rows)
     ok = F.coalesce(
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vec") == dim[0])
         & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0), F.lit(False)
     )
-    rows = rows.withColumn("ok", ok)
-    same = materialize(rows.filter("ok").groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")), "distinct")
-    total = same.count()
-    picked = np.array([r["vec"] for r in same.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vec").collect()])
-    per_label = same.groupBy("label").count().agg(F.max("count")).first()[0]
-    k = int(min(MOST_CELLS, max(1, per_label // cell_rows), len(picked), total))
-    centres = spherical_kmeans(unit(picked), k)
+    same = materialize(rows.filter(ok).groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")), "distinct")
+    centres, shared = _centres(same, sample, cell_rows, cosine)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
-                continue
-            home, enters = cells_of(unit(matrix(b.column(1))), centres, cosine)
-            row, cell = np.nonzero(enters)
-            took = b.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*took.columns, pa.array(cell.astype(np.int32)), pa.array(cell == home[row])], [*took.schema.names, "cell", "home"])
-
-    placed = materialize(same.mapInArrow(place, "label long, vec array<double>, rep long, n long, cell int, home boolean"), "cells")
-    parts = placed.groupBy("label", "cell").agg(F.ceil(F.sum(F.col("home").cast("int")) / HOMES).cast("int").alias("parts"))
-    split = placed.join(parts.filter("parts > 0"), ["label", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    split = split.withColumn("home", F.col("home") & (F.pmod(F.xxhash64("rep"), F.col("parts")) == F.col("part")))
+            labels = b.column(0).to_numpy()
+            for k in np.unique(labels).tolist():
+                part = b.filter(pa.array(labels == k))
+                home, enters = cells_of(unit(matrix(part.column(1))), centres.get(k, shared), cosine)
+                row, cell = np.nonzero(enters)
+                took = part.take(pa.array(row))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(enters.sum(1)))).astype(np.int32)), pa.array(cell.astype(np.int32)))
+                more = [pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), lists.take(pa.array(row))]
+                yield pa.RecordBatch.from_arrays([*took.columns, *more], [*took.schema.names, "cell", "home", "enters"])
+
+    placed = same.mapInArrow(place, f"label long, vec {same.schema['vec'].dataType.simpleString()}, rep long, n long, cell int, home int, enters array<int>")
+    # A cell of many rows is cut into blocks; a row goes to the tasks that compare its block with each block.
+    blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks")).filter("blocks > 1")
+    blocks = materialize(blocks, "blocks")
+    split = placed.join(F.broadcast(blocks) if blocks.count() <= FEW_CELLS else blocks, ["label", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    split = split.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    split = split.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    width = max([len(shared), *map(len, centres.values())])
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         col = lambda c: t.column(c).combine_chunks()
-        ids, n = col("rep").to_numpy(), col("n").to_numpy()
-        homes = np.flatnonzero(col("home").to_numpy(zero_copy_only=False))
-        links, u, v = links_in_cell(homes, ids, unit(matrix(col("vec"))), n, cosine)
-        none = np.zeros(len(u), np.int64)
+        ids, n, home, block, x = col("rep").to_numpy(), col("n").to_numpy(), col("home").to_numpy(), col("block").to_numpy(), unit(matrix(col("vec")))
+        lists = col("enters")
+        enters = np.zeros((len(ids), width), bool)
+        enters[np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = True
+        cell, low, high = (t.column(c)[0].as_py() for c in ("cell", "low", "high"))
+        side = lambda at: tuple(z[at] for z in (ids, x, n, home, enters))
+        one, two = block == low, block == high
+        if low == high:
+            p, q, u, v = tile_links(cell, side(one), None, cosine)
+            names, counts = ids[one], p + q
+        else:
+            p, q, u, v = tile_links(cell, side(one), side(two), cosine)
+            names, counts = np.concatenate([ids[one], ids[two]]), np.concatenate([p, q])
+        names, counts = names[counts > 0], counts[counts > 0]
         return pa.table(
-            [pa.array(np.concatenate([ids[homes], u])), pa.array(np.concatenate([ids[homes], v])), pa.array(np.concatenate([links, none]))], ["u", "v", "links"]
+            [pa.array(np.concatenate([names, u])), pa.array(np.concatenate([names, v])), pa.array(np.concatenate([counts, np.zeros(len(u), np.int64)]))], ["u", "v", "links"]
         )
 
-    found = split.select("label", "cell", "part", "rep", "n", "vec", "home").groupBy("label", "cell", "part").applyInArrow(compare, "u long, v long, links long")
+    found = split.select("label", "cell", "low", "high", "rep", "n", "vec", "home", "enters", "block").groupBy("label", "cell", "low", "high").applyInArrow(compare, "u long, v long, links long")
     found = materialize(found, "links")
     links = found.filter("u = v").groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
     roots = connected_components(found.select("u", "v")).withColumnRenamed("u", "rep")
     named = same.join(links, "rep", "left").join(roots, "rep", "left").select(
-        F.col("label").alias("l"), F.col("vec").alias("x"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("found"), F.coalesce("root", "rep").alias("root")
-    )
-    joined = rows.join(named, F.col("ok") & (F.col("label") == F.col("l")) & (F.col("vec") == F.col("x")), "left")
-    return joined.select(
-        "vec_id", F.coalesce("found", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"), (F.coalesce("root", "vec_id").eqNullSafe(F.col("vec_id"))).alias("kept")
+        F.struct("label", "vec").alias("k"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("found"), F.coalesce("root", "rep").alias("root"), "n"
     )
+    joined = join_hot(rows.filter(ok).select("vec_id", F.struct("label", "vec").alias("k")), materialize(named, "named"), "k")
+    return joined.select("vec_id", F.col("found").cast("long").alias("n_links"), F.col("root").alias("component_id"), (F.col("root") == F.col("vec_id")).alias("kept")).unionByName(alone(rows.filter(~ok)))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_buffer
+from .common import join_hot, materialize, text_buffer
 from .components import connected_components, spanning
 
 #: Bits read per level of the index, rows indexed together, node pairs expanded together.
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     """
     fps = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     roots = connected_components(hamming_links(fps, radius)).withColumnRenamed("u", "fp")
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    named = least.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    named = least.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least", "n")
     first = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(named.join(first, "root").select("fp", "component_id"), "fp")
+    return join_hot(fps, materialize(named.join(first, "root").select("fp", "component_id", "n"), "groups"), "fp")
