@@ -45,6 +45,48 @@ def test_search_recall_and_exact_scores(spark):
     assert hits / total >= 0.9
 
 
+def test_search_in_narrow_windows_of_clustered_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    n, seen = 20_000, []
+    centres = rng.normal(size=(1000, 32)) * 3
+    x = (centres[rng.integers(0, 1000, n)] + rng.normal(size=(n, 32)) * 0.3).astype(np.float32)
+    import pyarrow as pa
+
+    measured = ann._measured
+    monkeypatch.setattr(ann, "_measured", lambda *a: seen.append(measured(*a)) or seen[-1])
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(x.ravel(), 32).cast(pa.list_(pa.float32()))}))
+    got = ann.search(df, k=10, every=200).toPandas()
+    curves, wide = seen[0]
+    assert curves * (2 * wide + 1) < n / 2
+    x = x.astype(np.float64)
+    hits = 0
+    for q in range(0, n, 200):
+        d = ann.distances(x, x[q])
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10]) & set(got.loc[got["query_id"] == q, "vec_id"]))
+    assert hits / 1000 >= 0.9
+
+
+def test_plan_takes_the_cheapest_curves():
+    gaps = np.array([[50.0, 900.0, 3.0], [50.0, 900.0, 3.0]])
+    assert ann.plan_of(gaps, 0.97) == (1, 50) and ann.plan_of(gaps * 2, 0.97) == (3, 32)
+    assert ann.plan_of(np.array([[5000.0, 40.0], [40.0, 5000.0]]), 0.97) == (2, 40)
+    assert ann.plan_of(np.zeros((3, 4)), 0.97) == (1, ann.LEAST)
+
+
+def test_search_with_repeated_ids_and_large_values(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [1.0, 0.1], 0), (1, [1.0, 0.1], 0), (1, [1.0, 0.2], 0), (2, [1.0, 5.0], 0)]
+    got = ann.search(spark.createDataFrame(rows, KIND), k=2, every=100).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2] and abs(got[0]["score"] - 0.1) < 1e-6
+    ids = np.array([1] * 50 + [2, 3])
+    x = np.concatenate([np.tile([[1.0, 0.0]], (50, 1)), [[3.0, 0.0], [2.0, 0.0]]])
+    assert ann.nearest(ids, x, np.zeros(2), 0, 3)[0].tolist() == [1, 3, 2]
+    big = ann.distances(np.array([[1e200, 0.0], [3e-200, 4e-200], [-1.7e308, 0.0]]), np.array([0.0, 0.0]))
+    assert np.allclose(big, [1e200, 5e-200, 1.7e308])
+    wide = spark.createDataFrame([(i, [10.0 ** (i * 20 - 200), 1.0, -(10.0 ** (200 - i * 20))], 0) for i in range(20)], "vec_id long, embedding array<double>, label int")
+    assert ann.search(wide, k=3, every=5).count() == 12
+
+
 def test_search_ties_and_small_tables(spark):
     rows = [(i, [1.0, 2.0], 0) for i in range(30)] + [(0, [1.0, 2.0], 0)]
     got = ann.search(spark.createDataFrame(rows, KIND), k=10, every=100).orderBy("rank").collect()

@@ -1,16 +1,19 @@
 """Nearest neighbours along several shifted space-filling curves.
 
-Vectors are projected by random orthonormal bases, shifted, and ordered by Hilbert
-keys, one ordering per curve.  Spark range-partitions the keys and numbers the
-rows.  A query looks at all rows whose number lies within a window of its own on
-any curve; blocks of the window are searched apart, the results are merged and
-reranked by exact Euclidean distance.
-
-The width of the window is measured, not set: for a bounded sample of queries the
-true neighbours are found by a pass over all rows, and the window is the rank
-distance within which the target share of them lies on some curve.  It follows
-the data at every size: narrow where vectors form clusters, wide where they do not,
-and never less than ``LEAST`` rows to either side.
+Vectors are projected on random directions that lean towards those in which the
+data vary, each projection is replaced by its rank in a bounded sample, shifted,
+and the points are ordered by Hilbert keys, one ordering per curve.  Spark
+range-partitions the keys and numbers the rows.  A query looks at all rows whose
+number lies within a window of its own on any curve; blocks of the window are
+searched apart, the results are merged and reranked by exact Euclidean distance.
+
+The number of curves and the width of the window are measured, not set: for a
+bounded sample of queries the true neighbours are found by a pass over all rows,
+and the window of the first c curves is the rank distance within which the target
+share of them lies on one of these; the c with the least rows to look at is taken.
+So the work follows the data at every size: windows are narrow where vectors form
+clusters, and wide where they are spread evenly in many dimensions, which no
+ordering of a line can follow.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-CURVES, AXES, BITS, PROBES, TARGET, LEAST = 8, 4, 8, 64, 0.97, 512
+#: ``LEAST`` is the narrowest window, against chance in the sample; ``SAMPLE`` vectors give directions and ranks.
+CURVES, AXES, BITS, PROBES, TARGET, LEAST, SAMPLE = 8, 4, 8, 64, 0.97, 32, 4096
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -65,84 +69,127 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def distances(x: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows; components are scaled where squares would overflow or vanish."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = x - query
+        square = (gap * gap).sum(1)
+        out = np.sqrt(square)
+        for i in np.flatnonzero(~(square < np.inf) | (square < 1e-290)):
+            half = x[i] / 2 - query / 2  # no overflow
+            most = np.abs(half).max()
+            out[i] = 2 * most * np.sqrt(((half / most) ** 2).sum()) if most > 0 else 0.0
+    return out
+
+
+def best(ids: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest different ids, each at its smallest distance, ties to the smaller id."""
+    order = np.lexsort((ids, d))
+    ids, d = ids[order], d[order]
+    first = np.sort(np.unique(ids, return_index=True)[1])[:k]
+    return ids[first], d[first]
+
+
 def nearest(ids: np.ndarray, x: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest rows: (ids, distances), ties to the smaller id.  Products pre-select, exact distances decide."""
-    rough = (x * x).sum(1) - 2 * (x @ query) if len(x) else np.zeros(0)
-    rough = np.where(ids == own, np.inf, rough)
-    if len(ids) > 4 * k:
-        edge = np.partition(rough, k - 1)[k - 1]
-        at = np.flatnonzero(rough <= edge + 1e-9 * (abs(edge) + (query * query).sum() + 1))
-    else:
+    """The k nearest different ids and their distances, ties to the smaller id.  Products pre-select, exact distances decide."""
+    far = np.flatnonzero(ids != own)
+    ids, x = ids[far], x[far]
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = (x * x).sum(1) - 2 * (x @ query) if len(x) else np.zeros(0)
+        slack = 1e-9 * ((query * query).sum() + 1)
+    many = k
+    while True:
         at = np.arange(len(ids))
-    at = at[ids[at] != own]
-    d = np.sqrt(((x[at] - query) ** 2).sum(1))
-    o = np.lexsort((ids[at], d))[:k]
-    return ids[at][o], d[o]
+        if len(ids) > 4 * many and np.isfinite(rough).all() and np.isfinite(slack):
+            edge = np.partition(rough, many - 1)[many - 1]
+            at = np.flatnonzero(rough <= edge + 1e-9 * abs(edge) + slack)
+        got = best(ids[at], distances(x[at], query), k)
+        if len(got[0]) >= k or len(at) == len(ids):  # else ids repeat among the nearest rows
+            return got
+        many *= 4
+
+
+def _projection(vecs: DataFrame, curves: int, axes: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(directions, sorted projections of a bounded sample, shifts, scale) of each curve and axis."""
+    some = matrix(vecs.orderBy(F.xxhash64(F.lit(seed), "row")).limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks())
+    scale = float(np.median(np.abs(some).max(1))) or 1.0
+    some = np.nan_to_num(some / scale, posinf=1e150, neginf=-1e150).clip(-1e6, 1e6)
+    value, vector = np.linalg.eigh(np.cov(some.T, bias=True).reshape(some.shape[1], -1))
+    lean = vector * np.sqrt(np.maximum(value, 1e-12 * max(value.max(), 1e-300)))
+    axes = min(axes, some.shape[1])
+    rng = np.random.default_rng(seed)
+    bases = np.stack([np.linalg.qr(lean @ rng.normal(size=(some.shape[1], axes)))[0] for _ in range(curves)])
+    return bases, np.sort(np.einsum("nd,cda->can", some, bases), axis=2), rng.random((curves, axes)), scale
 
 
 def _orders(vecs: DataFrame, curves: int, axes: int, bits: int, seed: int) -> DataFrame:
-    """(curve, vec_id, rank): the number of each row along each curve, from 0."""
-    dim = vecs.select(F.size("vec")).first()
-    dim = dim[0] if dim else 1
-    axes = min(axes, dim)
-    rng = np.random.default_rng(seed)
-    bases = [np.linalg.qr(rng.normal(size=(dim, axes)))[0] for _ in range(curves)]
-    spread = vecs.select(F.sqrt(F.avg(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)) / dim).alias("s")).first()["s"] or 1.0
-    shifts = rng.random((curves, axes)) - 0.5
+    """(curve, row, rank): the number of each row along each curve, from 0."""
+    bases, ranks, shifts, scale = _projection(vecs, curves, axes, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = matrix(b.column(1))
+            x = np.nan_to_num(matrix(b.column(1)) / scale, posinf=1e150, neginf=-1e150).clip(-1e6, 1e6)
             for c in range(curves):
-                cell = ((x @ bases[c] / spread + shifts[c]) / 8 + 0.5) * (1 << bits)
-                key = hilbert_keys(np.clip(cell, 0, (1 << bits) - 1).astype(np.int64), bits)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(key.astype(np.int64)), b.column(0)], ["curve", "key", "vec_id"])
+                p = x @ bases[c]
+                u = np.stack([np.searchsorted(r, p[:, i]) for i, r in enumerate(ranks[c])], 1) / (ranks.shape[2] + 1)
+                key = hilbert_keys(((u + shifts[c]) / 2 * (1 << bits)).astype(np.int64), bits)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(key.astype(np.int64)), b.column(0)], ["curve", "key", "row"])
 
-    keys = vecs.mapInArrow(run, "curve int, key long, vec_id long")
+    keys = vecs.select("row", "vec").mapInArrow(run, "curve int, key long, row long")
     n = vecs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    placed = keys.repartitionByRange(int(n), "curve", "key", "vec_id").withColumn("part", F.spark_partition_id())
+    placed = keys.repartitionByRange(int(n), "curve", "key", "row").withColumn("part", F.spark_partition_id())
     placed = materialize(placed, "curves")
     # Numbers within a part, then what lies before the part on its curve; a table of parts, not of rows.
     sizes = placed.groupBy("curve", "part").count()
     before = sizes.select("curve", "part", (F.sum("count").over(Window.partitionBy("curve").orderBy("part")) - F.col("count")).alias("before"))
-    inside = placed.withColumn("within", F.row_number().over(Window.partitionBy("curve", "part").orderBy("key", "vec_id")) - 1)
-    return materialize(inside.join(before, ["curve", "part"]).select("curve", "vec_id", (F.col("within") + F.col("before")).alias("rank")), "ranks")
+    inside = placed.withColumn("within", F.row_number().over(Window.partitionBy("curve", "part").orderBy("key", "row")) - 1)
+    return materialize(inside.join(before, ["curve", "part"]).select("curve", "row", (F.col("within") + F.col("before")).alias("rank")), "ranks")
 
 
 def brute_force(vecs: DataFrame, queries: list[tuple[int, list[float]]], k: int) -> list[tuple[int, int, float]]:
     """(query, vec_id, distance) by a pass over all rows, for a bounded list of queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             ids, x = b.column(0).to_numpy(), matrix(b.column(1))
             for q, v in queries:
-                i, d = nearest(ids, x, np.array(v), q, k)
-                if q in best:
-                    i, d = np.concatenate([best[q][0], i]), np.concatenate([best[q][1], d])
-                    o = np.lexsort((i, d))[:k]
-                    i, d = i[o], d[o]
-                best[q] = (i, d)
-        for q, (i, d) in best.items():
+                i, d = nearest(ids, x, np.array(v, float), q, k)
+                held[q] = best(np.concatenate([held[q][0], i]), np.concatenate([held[q][1], d]), k) if q in held else (i, d)
+        for q, (i, d) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), q)), pa.array(i), pa.array(d)], ["query_id", "vec_id", "score"])
 
-    rows = vecs.mapInArrow(run, "query_id long, vec_id long, score double").distinct()
+    rows = vecs.select("vec_id", "vec").mapInArrow(run, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     top = rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).filter(F.col("rank") <= k)
     return [(r["query_id"], r["vec_id"], r["score"]) for r in top.collect()]
 
 
-def _window(vecs: DataFrame, orders: DataFrame, queries: DataFrame, k: int, probes: int, target: float) -> int:
-    """The rank distance within which ``target`` of the true neighbours of a bounded sample of queries lie on some curve."""
-    some = [(r["vec_id"], r["vec"]) for r in queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(probes).collect()]
-    true = brute_force(vecs, some, k)
+def plan_of(gaps: np.ndarray, target: float) -> tuple[int, int]:
+    """(curves, window) with the least rows to look at, from the gaps of true pairs (rows) on each curve (columns)."""
+    plans = []
+    for c in range(1, gaps.shape[1] + 1):
+        wide = max(LEAST, int(np.ceil(np.quantile(gaps[:, :c].min(1), target, method="higher"))))
+        plans.append((c * (2 * wide + 1), c, wide))
+    return min(plans)[1:]
+
+
+def _measured(vecs: DataFrame, orders: DataFrame, queries: DataFrame, k: int, curves: int, probes: int, target: float) -> tuple[int, int]:
+    """(curves, window) by which ``target`` of the true neighbours of a bounded sample of queries are found."""
+    some = [(r["vec_id"], r["row"], r["vec"]) for r in queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(probes).collect()]
+    true = brute_force(vecs, [(q, v) for q, _, v in some], k)
     if not true:
-        return 0
+        return 1, LEAST
     spark = vecs.sparkSession
-    pairs = F.broadcast(spark.createDataFrame([(q, v) for q, v, _ in true], "query_id long, vec_id long"))
-    a = orders.join(pairs, "vec_id").select("query_id", "vec_id", "curve", F.col("rank").alias("there"))
-    b = orders.join(F.broadcast(spark.createDataFrame([(q,) for q, _ in some], "vec_id long")), "vec_id").select(F.col("vec_id").alias("query_id"), "curve", F.col("rank").alias("here"))
-    gaps = a.join(b, ["query_id", "curve"]).groupBy("query_id", "vec_id").agg(F.min(F.abs(F.col("there") - F.col("here"))).alias("gap"))
-    return int(np.ceil(np.quantile([r["gap"] for r in gaps.collect()], target)))
+    pairs = F.broadcast(spark.createDataFrame([(q, v) for q, v, _ in true], "query_id long, vec_id long"))  # probes x k rows
+    there = vecs.select("vec_id", "row").join(pairs, "vec_id").join(orders, "row").select("query_id", "vec_id", "curve", F.col("rank").alias("there"))
+    asked = F.broadcast(spark.createDataFrame([(q, r) for q, r, _ in some], "query_id long, row long"))
+    here = orders.join(asked, "row").select("query_id", "curve", F.col("rank").alias("here"))
+    rows = there.join(here, ["query_id", "curve"]).groupBy("query_id", "vec_id", "curve").agg(F.min(F.abs(F.col("there") - F.col("here"))).alias("gap")).collect()
+    at = {p: i for i, p in enumerate(sorted({(r["query_id"], r["vec_id"]) for r in rows}))}
+    gaps = np.zeros((len(at), curves))
+    for r in rows:
+        gaps[at[r["query_id"], r["vec_id"]], r["curve"]] = r["gap"]
+    return plan_of(gaps, target)
 
 
 def search(vectors: DataFrame, k: int = 10, every: int = 100, curves: int = CURVES, axes: int = AXES, bits: int = BITS, probes: int = PROBES, target: float = TARGET, seed: int = 11) -> DataFrame:
@@ -151,20 +198,21 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, curves: int = CURV
     Score is the Euclidean distance of the original vectors in double precision;
     ties go to the smaller vec_id.  Vectors that are null, zero, of an odd length
     or not finite take no part.  Rows that repeat a vec_id count as one candidate,
-    at their smallest distance, and are not candidates of a query of that id.  An
-    empty table gives no row.
+    at their smallest distance, and are not candidates of a query of that id; the
+    query is the smallest of their vectors.  An empty table gives no row.
     """
     spark = vectors.sparkSession
-    vecs = materialize(valid_vectors(vectors), "vectors")
-    chosen = vecs.filter(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
+    vecs = materialize(valid_vectors(vectors).dropDuplicates(["vec_id", "vec"]).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    chosen = vecs.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min(F.struct("vec", "row")).alias("q")).select("vec_id", "q.row", "q.vec")
     kind = "query_id long, rank int, vec_id long, score double"
     if chosen.isEmpty():
         return spark.createDataFrame([], kind)
     orders = _orders(vecs, curves, axes, bits, seed)
-    wide = max(LEAST, _window(vecs, orders, chosen, k, probes, target))
-    block = int(min(65_536, max(1024, wide // 4)))
-    rows = orders.join(vecs, "vec_id").select("curve", F.floor(F.col("rank") / block).alias("block"), "vec_id", "rank", "vec")
-    asks = orders.join(chosen, "vec_id").groupBy("curve", "vec_id").agg(F.min("rank").alias("rank"), F.first("vec").alias("vec"))
+    used, wide = _measured(vecs, orders, chosen, k, curves, probes, target)
+    orders = orders.filter(F.col("curve") < used)
+    block = int(min(65_536, max(256, wide // 4)))
+    rows = orders.join(vecs, "row").select("curve", F.floor(F.col("rank") / block).alias("block"), "vec_id", "rank", "vec")
+    asks = orders.join(chosen, "row").select("curve", "vec_id", "rank", "vec")
     first, last = F.floor(F.greatest(F.col("rank") - wide, F.lit(0)) / block), F.floor((F.col("rank") + wide) / block)
     asks = asks.select("curve", F.explode(F.sequence(first, last)).alias("block"), "vec_id", "rank", "vec")
 
