@@ -36,21 +36,31 @@ def pri_severity(line: Column) -> Column:
 
 
 def severity_of(message: Column, pri: Column) -> Column:
-    """First matching pattern, else the first severity word, else the PRI's, else INFO."""
+    """First matching pattern, else the first severity word, else the PRI's, else INFO.
+
+    One alternation of all patterns rules them out together for most messages.
+    """
     word = F.upper(F.regexp_extract(message, rf"(?i)\b({WORDS})\b", 1))
-    start = None
+    words = F.coalesce(F.when(word != "", lookup(SEVERITY_WORDS, word)), pri, F.lit("INFO"))
+    start = F.when(~message.rlike("(?i)" + "|".join(f"(?:{p})" for p, _ in SEVERITY_PATTERNS)), words)
     for pattern, level in SEVERITY_PATTERNS:
-        hit = message.rlike(f"(?i){pattern}")
-        start = F.when(hit, level) if start is None else start.when(hit, level)
-    return start.otherwise(F.coalesce(F.when(word != "", lookup(SEVERITY_WORDS, word)), pri, F.lit("INFO")))
+        start = start.when(message.rlike(f"(?i){pattern}"), level)
+    return start.otherwise(words)
 
 
-def service_of(rest: Column) -> Column:
-    """Subsystem before the first colon: last token, process number dropped, alias or upper case."""
+def service_name(rest: Column) -> Column:
+    """Last token before the first colon without its process number; empty without a colon."""
     token = F.element_at(F.split(F.trim(F.substring_index(rest, ":", 1)), r"\s+"), -1)
-    name = F.trim(F.regexp_replace(token, r"\[\d+\]$", ""))
-    name = F.when(name == "", "UNKNOWN").otherwise(name)
-    return F.when(~F.contains(rest, F.lit(":")), "UNKNOWN").otherwise(F.coalesce(lookup(SERVICE_ALIASES, F.lower(name)), F.upper(name)))
+    return F.when(F.contains(rest, F.lit(":")), F.trim(F.regexp_replace(token, r"\[\d+\]$", ""))).otherwise("")
+
+
+def service_alias(name: Column) -> Column:
+    return F.when(name == "", "UNKNOWN").otherwise(F.coalesce(lookup(SERVICE_ALIASES, F.lower(name)), F.upper(name)))
+
+
+def service_of(rest: Column) -> Column:
+    """Subsystem before the first colon: alias or upper case of its name."""
+    return service_alias(service_name(rest))
 
 
 def message_of(rest: Column) -> Column:
@@ -60,10 +70,9 @@ def message_of(rest: Column) -> Column:
 
 def clean_message(message: Column) -> Column:
     """The message without its first severity word; unchanged if nothing else is in it."""
-    parts = rf"(?is)^(.*?)\b(?:{WORDS})\b(.*)$"
-    joined = F.concat(F.regexp_extract(message, parts, 1), F.regexp_extract(message, parts, 2))
-    text = F.trim(F.regexp_replace(F.trim(F.when(message.rlike(parts), joined).otherwise(message)), "^:+", ""))
-    return F.when(text == "", message).otherwise(text)
+    rest = F.regexp_replace(message, rf"(?is)^(.*?)\b(?:{WORDS})\b", "$1")
+    text = F.trim(F.regexp_replace(F.trim(rest), "^:+", ""))
+    return F.coalesce(F.nullif(text, F.lit("")), message)
 
 
 def event_weight(level: Column, config: Config = DEFAULT) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import expr as X
+from ..sources.scratch import staged
 from .baseline import last_sessions
 from .features import finite
 
@@ -92,9 +93,10 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> tuple[list, list, list
 
 
 def train_forest(features: DataFrame, columns: list[str] | None = None, config: Config = DEFAULT) -> Forest:
-    """A seeded forest.  Each tree sees the rows that come first in its own hash order.
+    """A seeded forest.  Rows are drawn by a hash of their number; each tree has ``subsample`` rows of its own.
 
-    At most trees x subsample rows reach the driver, whatever the input.
+    At most trees x subsample rows reach the driver, whatever the input; where the
+    table has fewer, trees draw from all of them.
     """
     columns = columns or FEATURES
     rows = features.filter(finite(columns)).select("sequence_number", *[F.col(c).cast("double").alias(c) for c in columns])
@@ -102,11 +104,13 @@ def train_forest(features: DataFrame, columns: list[str] | None = None, config:
     if not n:
         raise ValueError("no rows to train on")
     psi = min(config.subsample, n)
-    pool = rows.orderBy(F.xxhash64(F.lit(config.seed), "sequence_number"), "sequence_number").limit(psi * min(config.trees, 40)).toPandas()
-    x = pool[columns].to_numpy()
+    most, draw = psi * config.trees, F.xxhash64(F.lit(config.seed), "sequence_number")
+    # About twice the rows wanted are ordered, not the table.
+    share = rows.filter(F.pmod(draw, F.lit(1 << 30)) < min(1.0, (2 * most + 1000) / n) * (1 << 30))
+    x = share.orderBy(draw, "sequence_number").limit(most).toPandas()[columns].to_numpy()
     rng = np.random.default_rng(config.seed)
-    trees = [grow_tree(x[rng.choice(len(x), min(psi, len(x)), replace=False)], rng) for _ in range(config.trees)]
-    f, v, lo, hi, d = zip(*trees, strict=True)
+    own = [x[i * psi : (i + 1) * psi] if len(x) >= most else x[rng.choice(len(x), min(psi, len(x)), replace=False)] for i in range(config.trees)]
+    f, v, lo, hi, d = zip(*[grow_tree(rows_, rng) for rows_ in own], strict=True)
     return Forest(columns, list(f), list(v), list(lo), list(hi), list(d), psi, n)
 
 
@@ -151,11 +155,14 @@ def detect(features: DataFrame, forest: Forest | None = None, config: Config = D
     """(sequence_number, isolation_score, zscore_norm, combined_score, is_anomaly, model_confidence).
 
     Rows with a null or an infinite feature are left out.  Without a model one is
-    trained on the batch.
+    trained on the batch.  Features and raw scores are written once each.
     """
-    rows = features.filter(finite(FEATURES))
-    forest = forest or train_forest(rows, config=config)
-    out = combine(minmax_isolation(add_isolation(rows, forest)), forest.rows, config)
+    rows = features.filter(finite(FEATURES)).select("sequence_number", *FEATURES)
+    if forest is None:
+        rows = staged(rows, "features")
+        forest = train_forest(rows, config=config)
+    rows = staged(add_isolation(rows, forest).select("sequence_number", "zscore_base", "raw_isolation"), "isolation")
+    out = combine(minmax_isolation(rows), forest.rows, config)
     return dynamic_threshold(out, config=config).select("sequence_number", "isolation_score", "zscore_norm", "combined_score", "is_anomaly", "model_confidence")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import expr as X
+from ..sources.scratch import staged
 
 NODE_SCORES = "template_id string, component string, pagerank double, betweenness double, degree long"
 
@@ -175,23 +176,27 @@ def correlated_ids(rows: DataFrame, links: DataFrame) -> DataFrame:
     """(session_id, template_id, correlated_log_ids): row ids of neighbouring templates in the session, ascending."""
     near = links.select(F.col("a").alias("template_id"), F.col("b").alias("near")).union(links.select("b", "a"))
     have = rows.select("session_id", "template_id").distinct()
-    asked = have.join(F.broadcast(near), "template_id")  # at most graph_max_nodes squared edges
+    asked = have.join(near, "template_id")  # Spark broadcasts the edges if they are few
     ids = rows.groupBy("session_id", F.col("template_id").alias("near")).agg(F.collect_list("sequence_number").alias("ids"))
     met = asked.join(ids, ["session_id", "near"]).groupBy("session_id", "template_id").agg(F.array_sort(F.flatten(F.collect_list("ids"))).alias("ids"))
     return met.select("session_id", "template_id", F.transform("ids", lambda i: i.cast("string")).alias("correlated_log_ids"))
 
 
 def graph_scores(rows: DataFrame, window_s: int | None = None, sequence_window_s: int | None = None, support: int | None = None, config: Config = DEFAULT) -> DataFrame:
-    """The contract of the correlation stage: 8 columns per row; templates outside the graph get its means."""
-    nodes = top_templates(rows, config=config)
-    links = edges(rows, nodes, window_s, config)
-    scores = node_scores(nodes, links, config)
-    means = F.broadcast(scores.agg(F.coalesce(F.avg("pagerank"), F.lit(0.5)).alias("_p"), F.coalesce(F.avg("betweenness"), F.lit(0.5)).alias("_b")))
+    """The contract of the correlation stage: 8 columns per row; templates outside the graph get its means.
+
+    Rows, nodes, edges and scores are written once each; every branch reads these.
+    """
+    rows = staged(rows.select("sequence_number", "session_id", "template_id", "timestamp", "frequency"), "graph-rows")
+    nodes = staged(top_templates(rows, config=config), "graph-nodes")
+    links = staged(edges(rows, nodes, window_s, config), "graph-edges")
+    scores = staged(node_scores(nodes, links, config), "graph-scores")  # at most graph_max_nodes rows
+    p, b = scores.agg(F.coalesce(F.avg("pagerank"), F.lit(0.5)), F.coalesce(F.avg("betweenness"), F.lit(0.5))).first()
     marked = in_sequence(rows, sequence_window_s, support, config).withColumn("_seq", F.lit(True))
-    out = rows.join(F.broadcast(scores), "template_id", "left").crossJoin(means).join(marked, "sequence_number", "left")
+    out = rows.join(F.broadcast(scores), "template_id", "left").join(marked, "sequence_number", "left")
     out = out.join(correlated_ids(rows, links), ["session_id", "template_id"], "left")
     return out.select(
-        "sequence_number", F.coalesce("pagerank", "_p").alias("centrality_score"), F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("betweenness", "_b").alias("betweenness"),
+        "sequence_number", F.coalesce("pagerank", F.lit(p)).alias("centrality_score"), F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("betweenness", F.lit(b)).alias("betweenness"),
         F.col("pagerank").isNotNull().alias("in_graph"), F.coalesce("component", F.lit("UNCAPPED")).alias("cluster_id"), F.coalesce("_seq", F.lit(False)).alias("in_sequence"),
         F.coalesce("correlated_log_ids", F.array().cast("array<string>")).alias("correlated_log_ids"),
     )

@@ -16,28 +16,26 @@ def sessionize(logs: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """``logs`` with session_id: a new session at a gap of more than the limit on a host.
 
     Rows are windowed by host and day, not by host: what a day needs from the days
-    before it (the last time, the last session start) comes from a table of one
-    row per host and day.
+    before it (the last time, the start of the open session) comes from a table of
+    one row per host and day.  Rows are shuffled and sorted once.
     """
     gap = config.session_gap_s * 1_000_000
     us = X.micros(F.col("timestamp"))
-    rows = logs.withColumns({"_us": us, "_slice": F.floor(us / SLICE_US)})
     order = Window.partitionBy("host", "_slice").orderBy("_us", "sequence_number")
-    days = rows.groupBy("host", "_slice").agg(F.max("_us").alias("_last"))
+    rows = logs.withColumns({"_us": us, "_slice": F.floor(us / SLICE_US)})
+    rows = rows.withColumn("_open", F.when(F.col("_us") - F.lag("_us").over(order) > gap, F.col("_us")))
+    days = rows.groupBy("host", "_slice").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.max("_open").alias("_opened"))
     past = Window.partitionBy("host").orderBy("_slice")
-    days = days.select("host", "_slice", F.lag("_last").over(past).alias("_before"))
-    rows = rows.join(days, ["host", "_slice"])
-    prev = F.coalesce(F.lag("_us").over(order), F.col("_before"))
-    rows = rows.withColumn("_start", F.when(prev.isNull() | (F.col("_us") - prev > gap), F.col("_us")))
-    starts = rows.groupBy("host", "_slice").agg(F.max("_start").alias("_opened"))
-    ahead = past.rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select("host", "_slice", F.last("_opened", ignorenulls=True).over(ahead).alias("_carried"))
-    rows = rows.join(starts, ["host", "_slice"])
-    own = F.last("_start", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    start = F.timestamp_add("MICROSECOND", F.coalesce(own, F.col("_carried")), F.lit("1970-01-01").cast("timestamp_ntz"))
+    before = F.lag("_last").over(past)
+    days = days.withColumn("_begins", F.when(before.isNull() | (F.col("_first") - before > gap), F.col("_first")))
+    running = F.last(F.coalesce("_opened", "_begins"), ignorenulls=True).over(past.rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select("host", "_slice", F.coalesce("_begins", running).alias("_carried"))
+    own = F.last("_open", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_own", own).join(days, ["host", "_slice"])
+    start = F.timestamp_add("MICROSECOND", F.coalesce("_own", "_carried"), F.lit("1970-01-01").cast("timestamp_ntz"))
     # Starts of a host are more than a gap apart, so host and second name a session.
     session = F.concat_ws("_", "host", F.date_format(start, "yyyyMMdd'T'HHmmss"))
-    return rows.withColumn("session_id", session).drop("_us", "_slice", "_before", "_start", "_carried")
+    return rows.withColumn("session_id", session).drop("_us", "_slice", "_open", "_own", "_carried")
 
 
 def add_frequency(rows: DataFrame) -> DataFrame:

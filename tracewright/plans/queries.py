@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..operators import anomaly, baseline, evaluation, features, graph, scoring, sessions, templates
 from ..sources import logs, sinks
+from ..sources.scratch import staged
 from . import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +106,11 @@ def session_rows(spark: SparkSession, d: str) -> DataFrame:
     return sessions.add_frequency(sessions.sessionize(log_rows(spark, d)))
 
 
+def session_table(spark: SparkSession, d: str) -> DataFrame:
+    """Session rows for what reads them more than once."""
+    return staged(session_rows(spark, d), "sessions")
+
+
 def scored_rows(spark: SparkSession, d: str) -> DataFrame:
     """Session rows with component scores and incidents derived from their numbers."""
     n = F.col("sequence_number")
@@ -176,13 +182,13 @@ def inter_arrival_ema(spark, d):
 
 @query("SELECT s.sequence_number, round(z, 6) AS zscore_base FROM s JOIN zroll USING (host, session_id, template_id)")
 def zscore_rolling(spark, d):
-    return features.zscore_rolling(session_rows(spark, d)).select("sequence_number", R("zscore_base").alias("zscore_base"))
+    return features.zscore_rolling(session_table(spark, d)).select("sequence_number", R("zscore_base").alias("zscore_base"))
 
 
 @query("SELECT host, template_id, n, round(mu, 6) AS welford_mean, round(m2, 5) AS welford_m2 FROM wel")
 def welford_store(spark, d):
     """The store after two batches, one of which is replayed: equal to one pass over everything."""
-    rows = session_rows(spark, d).persist()
+    rows = session_table(spark, d)
     store = spark.createDataFrame([], baseline.STORE)
     early = F.crc32(F.col("session_id").cast("binary")) % 2 == 0
     for batch in (rows.filter(early), rows.filter(~early), rows.filter(early)):
@@ -193,7 +199,7 @@ def welford_store(spark, d):
 @query("""SELECT s.sequence_number, round(CASE WHEN n >= 2 AND m2 > 0 AND sqrt(m2 / (n - 1)) >= 1e-9 THEN greatest(-5, least(5, (s.frequency - mu) / sqrt(m2 / (n - 1)))) ELSE 0 END, 5) AS zscore_base
     FROM s JOIN wel USING (host, template_id)""")
 def zscore_welford(spark, d):
-    scored, _ = baseline.zscore_persistent(session_rows(spark, d), spark.createDataFrame([], baseline.STORE))
+    scored, _ = baseline.zscore_persistent(session_table(spark, d), spark.createDataFrame([], baseline.STORE))
     return scored.select("sequence_number", R("zscore_base", 5).alias("zscore_base"))
 
 
@@ -207,19 +213,19 @@ def counter_proximity(spark, d):
     round(coalesce(gap, 0), 6) AS time_delta_prev, round(since, 6) AS time_delta_session_start, round({_EMA}, 4) AS inter_arrival_rate, event_weight, round(counter_proximity, 6) AS counter_proximity
     FROM (SELECT deltas.*, z, counter_proximity FROM deltas JOIN zroll USING (host, session_id, template_id) JOIN near USING (sequence_number)) x WINDOW w AS (PARTITION BY session_id)""")
 def features_full(spark, d):
-    out = features.build_features(session_rows(spark, d), counter=F.col("template_id") == "error")
+    out = features.build_features(session_table(spark, d), counter=F.col("template_id") == "error")
     return out.select(*[R(c, 5 if c == "burstiness_score" else 4 if c == "inter_arrival_rate" else 6).alias(c) if t == "double" and c != "event_weight" else F.col(c) for c, t in out.dtypes if c != "timestamp"])
 
 
 @query("SELECT s.sequence_number, s.session_id FROM s JOIN (SELECT session_id FROM s GROUP BY 1 ORDER BY min(timestamp) DESC, session_id DESC LIMIT 50) USING (session_id)")
 def last_n_sessions(spark, d):
-    return baseline.last_sessions(session_rows(spark, d), 50).select("sequence_number", "session_id")
+    return baseline.last_sessions(session_table(spark, d), 50).select("sequence_number", "session_id")
 
 
 @query("""SELECT u.sequence_number, u.session_id, u.v FROM (SELECT sequence_number, session_id, timestamp, CASE WHEN sequence_number % 2 = 0 THEN 2 ELSE 1 END AS v FROM s) u
     JOIN (SELECT session_id FROM s GROUP BY 1 ORDER BY min(timestamp) DESC, session_id DESC LIMIT 50) USING (session_id)""")
 def rolling_store(spark, d):
-    rows = session_rows(spark, d).select("sequence_number", "session_id", "timestamp")
+    rows = session_table(spark, d).select("sequence_number", "session_id", "timestamp")
     return baseline.update_rolling_store(rows.withColumn("v", F.lit(1)), rows.filter("sequence_number % 2 = 0").withColumn("v", F.lit(2))).select("sequence_number", "session_id", "v")
 
 
@@ -327,8 +333,8 @@ def feature_scenario(spark, d):
 # --- graph ------------------------------------------------------------------
 
 def _graph(spark, d):
-    rows = session_rows(spark, d)
-    nodes = graph.top_templates(rows)
+    rows = session_table(spark, d)
+    nodes = staged(graph.top_templates(rows), "nodes")
     return rows, nodes, graph.edges(rows, nodes, WIDE)
 
 
@@ -344,7 +350,7 @@ def edge_pmi(spark, d):
 
 @query("SELECT session_id, a, b FROM met")
 def cooccurrence_pairs(spark, d):
-    rows = session_rows(spark, d)
+    rows = session_table(spark, d)
     return graph.session_pairs(rows, graph.top_templates(rows), WIDE)
 
 
@@ -382,7 +388,7 @@ def sequences(spark, d):
 
 @query("SELECT DISTINCT unnest([i1, i2, i3]) AS sequence_number FROM grams WHERE gram IN (SELECT gram FROM kept)")
 def in_sequence(spark, d):
-    return graph.in_sequence(session_rows(spark, d), WIDE)
+    return graph.in_sequence(session_table(spark, d), WIDE)
 
 
 @query("""SELECT h.session_id, h.template_id, string_agg(CAST(s.sequence_number AS VARCHAR), ',' ORDER BY s.sequence_number) AS ids FROM (SELECT DISTINCT session_id, template_id FROM s) h
@@ -409,7 +415,7 @@ def graph_export(spark, d):
 
 @query("""SELECT s.sequence_number, round((z + 5) / 10, 6) AS combined_score FROM s JOIN zroll USING (host, session_id, template_id)""")
 def hybrid_zonly(spark, d):
-    rows = features.zscore_rolling(session_rows(spark, d)).withColumn("isolation_score", F.lit(0.7))
+    rows = features.zscore_rolling(session_table(spark, d)).withColumn("isolation_score", F.lit(0.7))
     return anomaly.combine(rows, 0).select("sequence_number", R("combined_score").alias("combined_score"))
 
 
@@ -432,7 +438,7 @@ def minmax_scores(spark, d):
 
 @query()
 def detect(spark, d):
-    return anomaly.detect(features.build_features(session_rows(spark, d), counter=F.col("template_id") == "error"))
+    return anomaly.detect(features.build_features(session_table(spark, d), counter=F.col("template_id") == "error"))
 
 
 @query("SELECT sequence_number, combined_score FROM sc ORDER BY combined_score DESC, sequence_number LIMIT 10")

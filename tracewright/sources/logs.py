@@ -80,16 +80,24 @@ def number_lines(lines: DataFrame, keep: Column | None = None) -> DataFrame:
     return tagged.select((before + inside).cast("long").alias("sequence_number"), *lines.columns)
 
 
-def parse_timestamp(line: Column, year: int | None = None) -> tuple[Column, Column]:
-    """(timestamp, what follows) of an ISO or BSD time at the start; null where neither stands there."""
-    iso, bsd = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})\s+(.+)$", r"^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(.+)$"
+ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}\s+."
+BSD = r"^[A-Z][a-z]{2}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2}\s+."
+
+
+def parse_timestamp(lines: DataFrame, column: str, year: int | None = None) -> DataFrame:
+    """``lines`` with timestamp and rest (what follows) of an ISO or BSD time at the start; null where neither stands there.
+
+    A line is matched and cut once; every later step reads columns.
+    """
+    line, parts = F.col(column), F.col("_parts")
     y = F.lit(str(year)) if year else F.year(F.current_date()).cast("string")
-    is_iso = line.rlike(iso)
-    text_iso = F.concat_ws(" ", F.regexp_extract(line, iso, 1), F.regexp_extract(line, iso, 2))
-    text_bsd = F.concat_ws(" ", y, F.regexp_extract(line, bsd, 1), F.lpad(F.regexp_extract(line, bsd, 2), 2, "0"), F.regexp_extract(line, bsd, 3))
-    ts = F.when(is_iso, F.try_to_timestamp(text_iso, F.lit("yyyy-MM-dd HH:mm:ss"))).when(line.rlike(bsd), F.try_to_timestamp(text_bsd, F.lit("yyyy MMM dd HH:mm:ss")))
-    rest = F.when(is_iso, F.regexp_extract(line, iso, 3)).otherwise(F.regexp_extract(line, bsd, 4))
-    return ts.cast("timestamp_ntz"), rest
+    kind = F.when(line.rlike(ISO), "iso").when(line.rlike(BSD), "bsd")
+    cut = lines.withColumn("_kind", kind).withColumn("_parts", F.when(F.col("_kind") == "bsd", F.split(line, r"\s+", 4)))
+    iso_text = F.concat(F.left(line, F.lit(10)), F.lit(" "), F.substring(line, 12, 8))
+    bsd_text = F.concat_ws(" ", y, F.get(parts, F.lit(0)), F.lpad(F.get(parts, F.lit(1)), 2, "0"), F.get(parts, F.lit(2)))
+    ts = F.when(F.col("_kind") == "iso", F.try_to_timestamp(iso_text, F.lit("yyyy-MM-dd HH:mm:ss"))).when(F.col("_kind") == "bsd", F.try_to_timestamp(bsd_text, F.lit("yyyy MMM dd HH:mm:ss")))
+    rest = F.when(F.col("_kind") == "iso", F.regexp_replace(F.substring(line, 20, 1 << 30), r"^\s+", "")).otherwise(F.coalesce(F.get(parts, F.lit(3)), F.lit("")))
+    return cut.withColumns({"timestamp": ts.cast("timestamp_ntz"), "rest": rest}).drop("_kind", "_parts")
 
 
 def normalize(lines: DataFrame, column: str = "value", year: int | None = None) -> DataFrame:
@@ -98,15 +106,15 @@ def normalize(lines: DataFrame, column: str = "value", year: int | None = None)
     Blank lines, comments, fractional seconds and version fields do not parse.
     """
     raw = F.trim(F.col(column))
-    pri = X.pri_severity(raw)
-    ts, rest = parse_timestamp(F.regexp_replace(raw, r"^<\d{1,3}>", ""), year)
-    ts = F.when(F.startswith(raw, F.lit("#")), None).otherwise(ts)
-    staged = lines.select("*", raw.alias("raw_text"), pri.alias("pri_severity"), ts.alias("timestamp"), rest.alias("rest"))
-    host = F.regexp_extract("rest", r"^(\S+)\s*(.*)$", 1)
-    staged = staged.withColumns({"host": F.when(host == "", "unknown").otherwise(host), "rest": F.regexp_extract("rest", r"^(\S+)\s*(.*)$", 2)})
-    staged = staged.withColumns({"service": X.service_of(F.col("rest")), "message": X.message_of(F.col("rest"))})
-    staged = staged.withColumn("log_level", X.severity_of(F.col("message"), F.col("pri_severity")))
-    return staged.withColumn("message", X.clean_message(F.col("message"))).drop("rest", "pri_severity")
+    staged = lines.withColumn("raw_text", raw)
+    staged = staged.withColumns({"_pri": X.pri_severity(F.col("raw_text")), "_line": F.regexp_replace("raw_text", r"^<\d{1,3}>", "")})
+    staged = parse_timestamp(staged, "_line", year)
+    staged = staged.withColumn("timestamp", F.when(~F.startswith("raw_text", F.lit("#")), F.col("timestamp"))).withColumn("_cut", F.split("rest", r"\s+", 2))
+    host = F.get("_cut", F.lit(0))
+    staged = staged.withColumns({"host": F.when(host == "", "unknown").otherwise(host), "rest": F.coalesce(F.get("_cut", F.lit(1)), F.lit(""))})
+    staged = staged.withColumns({"_name": X.service_name(F.col("rest")), "message": X.message_of(F.col("rest"))})
+    staged = staged.withColumns({"service": X.service_alias(F.col("_name")), "log_level": X.severity_of(F.col("message"), F.col("_pri"))})
+    return staged.withColumn("message", X.clean_message(F.col("message"))).drop("rest", "_pri", "_line", "_cut", "_name")
 
 
 def parsed_lines(lines: DataFrame, column: str = "value", year: int | None = None) -> DataFrame:
