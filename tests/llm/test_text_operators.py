@@ -252,6 +252,50 @@ def test_bucket_pairs_lose_no_pair():
         assert far <= len(sets[a]) + len(sets[b]) - 2 * len(np.intersect1d(sets[a], sets[b]))
 
 
+def test_words_and_shingles_against_splitting(monkeypatch):
+    from tracewright.llm import shingling
+
+    rng = np.random.default_rng(31)
+    texts = [*(t.encode() for t in ODD), b"", b"   ", b"a", b" lead", b"trail \x0b\x0c", b"MiXed Case mixed case", *(words(rng, int(n), 40).encode() for n in rng.integers(0, 60, 40)), b"long" * 300]
+    raw, offs = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    for window in (1 << 20, 64, 7):
+        monkeypatch.setattr(shingling, "WINDOW", window)
+        names, n = shingling.words_of(raw, offs)
+        assert n.tolist() == [len(t.lower().split()) for t in texts]
+        seen = {}
+        for w, x in zip((w for t in texts for w in t.lower().split()), names.tolist(), strict=True):
+            assert seen.setdefault(w, x) == x
+        assert len(set(seen.values())) == len(seen)
+        flat, sizes = shingling.shingle_sets(raw, offs, 5)
+        ends, known = np.concatenate(([0], np.cumsum(sizes))), {}
+        for i, t in enumerate(texts):
+            w = t.lower().split()
+            want = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+            assert len(want) == sizes[i]
+            got = near_text.shingle_set(t, 5)
+            assert got.tolist() == flat[ends[i] : ends[i + 1]].tolist() and (np.diff(got.astype(object)) > 0).all()
+            known |= dict.fromkeys(got.tolist()) | {}
+        codes = shingling.codes_of(*shingling.distinct(names, n))
+        at = np.concatenate(([0], np.cumsum(n)))
+        assert codes.tolist() == [simhash.majority(np.unique(names[s:e])) for s, e in zip(at[:-1], at[1:])]
+    high, low = shingling.digests_of(names, n)
+    same = {}
+    for t, h, x in zip(texts, high.tolist(), low.tolist(), strict=True):
+        same.setdefault(b" ".join(t.lower().split()), set()).add((h, x))
+    assert all(len(v) == 1 for v in same.values()) and len({next(iter(v)) for v in same.values()}) == len(same)
+
+
+@pytest.mark.parametrize("rows", [10_000, 3, 1])
+def test_buckets_of_sorted_rows(spark, rows):
+    sets = {1: [5, 9, 7], 2: [5, 7], 3: [8], -4: [7], 6: [7]}
+    df = spark.createDataFrame([(i, 10 + abs(i), bytearray(np.array(x, np.uint64).tobytes())) for i, x in sets.items()], "id long, size int, names binary")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    got = sorted((r["k"], r["at"] >> 32, r["id"], r["first"], r["before"]) for r in near_text._buckets(df.coalesce(1)).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == [(5, 11, 1, 1, None), (5, 12, 2, 1, 1), (7, 11, 1, 1, None), (7, 12, 2, 1, 1), (7, 14, -4, 1, 2), (7, 16, 6, 1, -4)]
+
+
 def test_forest_is_minimal():
     u, v, d = np.array([1, 2, 1, 3]), np.array([2, 3, 3, 4]), np.array([3, 1, 2, 0])
     assert near_text.forest(u, v, d).tolist() == [1, 2, 3]

@@ -12,11 +12,14 @@ then decided by the Jaccard similarity of its sets of word shingles.
 
 What that misses, an exact join finds.  Two sets of the wanted similarity share one
 of the first shingles of each in any common order (the prefix filter); rare shingles
-come first, by counts of hashed buckets.  Texts of one group so far are not compared
-again; sizes, places in the order and parity bitmaps rule out most other pairs, none
-of them similar.  A shingle with very many pairs first compares one text per group
-with its neighbours in size, and goes on after groups have joined, until no pair of
-two groups is left undecided.
+come first, by counts of hashed buckets.  Rows of first shingles are shuffled once, and
+the buckets of several texts are written; all that follows reads these.  At first each
+text of a bucket meets the bucket's first text and the one before it in size, which
+joins most groups.  Then texts of one group are not compared again; sizes, places in
+the order and parity bitmaps rule out most other pairs, none of them similar.  A
+bucket with very many pairs first compares one text per group with its neighbours in
+size, and goes on after groups have joined, until no pair of two groups is left
+undecided.
 """
 
 from __future__ import annotations
@@ -27,15 +30,15 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_buffer
+from .common import materialize
 from .components import connected_components
-from .simhash import CHUNK_ROWS, GrayIndex, majority, shingle_hashes
+from .shingling import codes_of, digests_of, distinct, offsets, shingle_sets, slices_of, words_of
+from .simhash import CHUNK_ROWS, GrayIndex
 
-WORDS, SIMILARITY, RADIUS, SEED = 5, 0.8, 6, 42
+WORDS, SIMILARITY, RADIUS = 5, 0.8, 6
 #: Bits of a bucket of the shingle counts and of a shard of them, bits of a text's bitmap.
 COUNT_BITS, SHARD_BITS, MAP_BITS = 21, 14, 2048
 #: Rows of a shingle that meet at once; pairs a row beyond which a shingle is taken in rounds; neighbours compared then.
@@ -73,14 +76,18 @@ def forest(u: np.ndarray, v: np.ndarray, d: np.ndarray) -> np.ndarray:
                 root = root[root]
 
 
+def _alone(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(text, np.uint8), np.array([0, len(text)])
+
+
 def word_code(text: bytes) -> int:
     """SimHash over the set of distinct lower-cased words."""
-    return majority(np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(text.lower().split())], np.uint64))
+    return int(codes_of(*distinct(*words_of(*_alone(text))))[0])
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     """Sorted names of the distinct shingles."""
-    return np.unique(shingle_hashes(text, words, SEED))
+    return shingle_sets(*_alone(text), words)[0]
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -171,31 +178,18 @@ def _decide(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _texts(b: pa.RecordBatch) -> Iterator[bytes]:
-    raw, offs = text_buffer(b.column(1))
-    data = raw.tobytes()
-    return (data[s:e] for s, e in zip(offs[:-1].tolist(), offs[1:].tolist()))
-
-
 def _bucket(names: np.ndarray) -> np.ndarray:
     return (names >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def _counts(rows: DataFrame, words: int) -> np.ndarray:
     """How many shingles of all texts fall into each bucket: at least the texts that have a shingle of it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
         for b in batches:
-            sets = [shingle_set(t, words) for t in _texts(b)]
-            if sets:
-                total += np.bincount(_bucket(np.concatenate(sets)), minlength=len(total))
+            for _, _, raw, offs in slices_of(b.column(1)):
+                np.add.at(total, _bucket(shingle_sets(raw, offs, words)[0]), 1)
         for i, part in enumerate(total.astype(np.uint32).reshape(-1, 1 << SHARD_BITS)):  # a task has fewer shingles than 2**32
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["shard", "n"])
@@ -256,45 +250,64 @@ def bucket_pairs(k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndar
         yield ids[:0], ids[:0], False
 
 
-def _meet(packed: DataFrame, comps: DataFrame, hot: dict[int, int], similarity: float, limit: float) -> DataFrame:
-    """(u, v) of ``bucket_pairs`` over all prefixes; a row of nulls if pairs were put off."""
+def _buckets(packed: DataFrame) -> DataFrame:
+    """(k, id, at, first, before): the rows of first shingles that several texts have.
+
+    ``at`` is the size of the text's set, then the shingle's place in it; ``first``
+    and ``before`` are the bucket's first text and the one before this in size.  Rows
+    come sorted, so a bucket of any size passes through in batches.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, comp, size, names in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
-                k = np.frombuffer(names, np.uint64)
-                pos = np.arange(len(k))
-                for at in [j for j, x in enumerate(k.tolist()) if x in hot] if hot else []:  # each two blocks of a hot shingle meet
-                    m = hot[int(k[at])]
-                    mine = int(_mix(np.array([i], np.int64).view(np.uint64))[0]) % m
-                    blocks = np.array([min(mine, c) * m + max(mine, c) + 1 for c in range(m)], np.uint64)
-                    more = _mix(k[at] ^ _mix(blocks))
-                    k = np.concatenate([k, more[1:]])
-                    pos = np.concatenate([pos, np.full(m - 1, at)])
-                    k[at] = more[0]
-                n = len(k)
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(np.full(n, comp)), pa.array(np.full(n, i)), pa.array(np.full(n, size, np.int32)), pa.array(pos.astype(np.int32))], kind)
-
-    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for b in spread(batches):
-            held.append(b)
-            if len(held) >= 256:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            for lo in range(0, len(b), 1000):
+                part = b.slice(lo, 1000)
+                names = [np.frombuffer(x, np.uint64) for x in part.column(2).to_pylist()]
+                n = np.array([len(x) for x in names], np.int64)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = np.repeat(part.column(1).to_numpy().astype(np.int64) << 32, n) | place
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(at)], ["k", "id", "at"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # the last row so far, of which it is not known yet whether another of its bucket follows
+
+        def marked(k, i, at):
+            """First text of each row's bucket, the text before the row, whether there is one, whether the bucket has several."""
+            same = k[1:] == k[:-1]
+            later = np.concatenate(([False], same))
+            head = np.maximum.accumulate(np.where(later, 0, np.arange(len(k))))
+            first, before = i[head], np.concatenate((i[:1], i[:-1]))
+            if held is not None:  # row 0 is the one that was held back
+                first[head == 0], before[0], later[0] = held[3:]
+            return first, before, later, later | np.concatenate((same, [False]))
+
+        def batch(k, i, at, first, before, later, several):
+            return pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (k, i, at, first)] + [pa.array(before[several], mask=~later[several])], ["k", "id", "at", "first", "before"])
+
+        for b in batches:
+            if not len(b):
+                continue
+            cols = tuple(b.column(c).to_numpy() for c in range(3))
+            if held is not None:
+                cols = tuple(np.concatenate(([x], y)) for x, y in zip(held[:3], cols, strict=True))
+            cols = (*cols, *marked(*cols))
+            yield batch(*(x[:-1] for x in cols))
+            held = tuple(x[-1] for x in cols[:6])
+        if held is not None and held[5]:
+            yield batch(*(np.array([x]) for x in (*held, True)))
+
+    rows = packed.select("id", "size", "names").mapInArrow(spread, "k long, id long, at long")
+    return rows.repartition("k").sortWithinPartitions("k", "at", "id").mapInArrow(search, "k long, id long, at long, first long, before long")
+
+
+def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, similarity: float, limit: float) -> DataFrame:
+    """(u, v) of ``bucket_pairs`` over all buckets; a row of nulls if pairs were put off."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def run(held):
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            k = cols[0]
-            same = k[1:] == k[:-1]
-            many = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-            if not many.any():
-                return
             us, vs, at, put_off = [], [], 0, False
-            for u, v, whole in bucket_pairs(*(x[many] for x in cols), similarity, limit):
+            for u, v, whole in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit):
                 us.append(u)
                 vs.append(v)
                 at += len(u)
@@ -315,7 +328,7 @@ def _meet(packed: DataFrame, comps: DataFrame, hot: dict[int, int], similarity:
         for b in batches:
             if not len(b):
                 continue
-            cols = tuple(b.column(i).to_numpy() for i in range(5))
+            cols = tuple(b.column(i).to_numpy() for i in range(4))
             if rows >= CHUNK_ROWS:  # the held rows end where a bucket ends
                 inside = cols[0] != held[-1][0][-1]
                 cut = int(np.argmax(inside)) if inside.any() else len(inside)
@@ -331,9 +344,12 @@ def _meet(packed: DataFrame, comps: DataFrame, hot: dict[int, int], similarity:
         if held:
             yield from run(held)
 
-    kind = ["k", "comp", "id", "size", "pos"]
-    rows = packed.select("id", "size", "names").join(comps, "id").select("id", "comp", "size", "names")
-    rows = rows.mapInArrow(packs, "k long, comp long, id long, size int, pos int")
+    rows = buckets.select("k", "id", "at").join(comps, "id").select("k", "comp", "id", "at")
+    # Each two blocks of a bucket of very many rows meet in a bucket of their own.
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.xxhash64("k", F.least(mine, c), F.greatest(mine, c)))
+    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at")
+    rows = rows.join(hot, "k", "left_anti").union(split)
     return rows.repartition("k").sortWithinPartitions("k").mapInArrow(search, "u long, v long").distinct()
 
 
@@ -356,36 +372,43 @@ def _possible(pairs: DataFrame, packed: DataFrame, similarity: float) -> DataFra
 
 def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
     """``links`` (u, v) and more: components are those of all pairs of ``similarity`` among the texts of ``owners`` (id)."""
-    counts, hot_rows = _counts(rows, words), HOT_ROWS
+    counts = _counts(rows, words)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, names, often, maps = [], [], [], []
-            for t in _texts(b):
-                s = shingle_set(t, words)
-                p = prefix(s, counts, similarity)
-                size.append(len(s))
-                names.append(p.tobytes())
-                often.append(p[counts[_bucket(p)] > hot_rows].view(np.int64).tolist())
-                maps.append(bitmap(s).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int32()), pa.array(names, pa.binary()), pa.array(often, pa.list_(pa.int64())), pa.array(maps, pa.binary())], ["id", "size", "names", "often", "map"])
-
-    packed = rows.mapInArrow(pack, "id long, size int, names binary, often array<long>, map binary")
-    packed = materialize(packed.filter("size > 0").dropDuplicates(["id"]), "prefixes")
-    often = packed.filter("size(often) > 0").select(F.explode("often").alias("k")).groupBy("k").count().filter(F.col("count") > hot_rows)
-    hot = {r["k"] & 0xFFFFFFFFFFFFFFFF: -(-r["count"] // hot_rows) for r in often.collect()}
-    limit = OPEN_PAIRS
+            for lo, hi, raw, offs in slices_of(b.column(1)):
+                flat, n = shingle_sets(raw, offs, words)
+                ends = offsets(n)
+                sets = [flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                names, maps = [prefix(x, counts, similarity).tobytes() for x in sets], [bitmap(x).tobytes() for x in sets]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int32)), pa.array(names, pa.binary()), pa.array(maps, pa.binary())], ["id", "size", "names", "map"])
+
+    packed = rows.mapInArrow(pack, "id long, size int, names binary, map binary").filter("size > 0")
+    packed = materialize(packed.join(owners.select("id"), "id", "left_semi").dropDuplicates(["id"]), "prefixes")
+    buckets = materialize(_buckets(packed), "buckets")
+    hot = buckets.groupBy("k").count().filter(F.col("count") > HOT_ROWS)
+    hot = materialize(hot.select("k", F.ceil(F.col("count") / HOT_ROWS).cast("long").alias("blocks")), "hot")
+    tried, limit, whole = None, OPEN_PAIRS, False
     while True:
         roots = connected_components(links).withColumnRenamed("u", "id")
-        comps = owners.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("comp"))
-        met = materialize(_meet(packed, comps, hot, similarity, limit), "met")
-        pairs = materialize(_possible(met.filter("u is not null"), packed, similarity), "pairs")
+        comps = materialize(owners.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("comp")), "comps")
+        if tried is None:
+            edge = lambda c: buckets.select(F.least("id", c).alias("u"), F.greatest("id", c).alias("v")).filter(f"{c} is not null and id <> {c}")
+            near = edge("first").union(edge("before")).distinct()
+            met = near.join(comps.withColumnsRenamed({"id": "u", "comp": "cu"}), "u").join(comps.withColumnsRenamed({"id": "v", "comp": "cv"}), "v").filter("cu <> cv").select("u", "v")
+            met = materialize(met, "met")
+        else:
+            met = materialize(_meet(buckets, hot, comps, similarity, limit).join(tried, ["u", "v"], "left_anti"), "met")
+            whole = met.filter("u is null").isEmpty()
+        asked = met.filter("u is not null")
+        pairs = materialize(_possible(asked, packed, similarity), "pairs")
         more = materialize(_decide(pairs, _sets(rows, pairs, words), similarity), "links")
         links = links.union(more)
-        if met.filter("u is null").isEmpty():
+        if whole:
             return links
-        if more.isEmpty():
+        if tried is not None and more.isEmpty():
             limit = float("inf")  # nothing joins any more: decide all
+        tried = asked if tried is None else tried.union(asked)
 
 
 def _sets(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -393,8 +416,11 @@ def _sets(rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [shingle_set(t, words).tobytes() for t in _texts(b)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["id", "set"])
+            for lo, hi, raw, offs in slices_of(b.column(1)):
+                flat, n = shingle_sets(raw, offs, words)
+                ends = offsets(n)
+                out = [flat[s:e].tobytes() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(out, pa.binary())], ["id", "set"])
 
     asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
     return materialize(rows.join(asked, "id").mapInArrow(sets, "id long, set binary").dropDuplicates(["id"]), "sets")
@@ -412,17 +438,13 @@ def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMIL
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, offs = text_buffer(b.column(1))
-            data = raw.tobytes()
-            code, high, low = [], [], []
-            for s, e in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                w = data[s:e].lower().split()
-                d = xxhash.xxh3_128_digest(b" ".join(w))
-                code.append(majority(np.array([xxhash.xxh64_intdigest(x, SEED) for x in set(w)], np.uint64)))
-                high.append(int.from_bytes(d[:8], "big", signed=True) if w else None)
-                low.append(int.from_bytes(d[8:], "big", signed=True))
-            arrays = [b.column(0), pa.array(np.array(code, np.uint64).view(np.int64)), pa.array(high, pa.int64()), pa.array(low, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", "code", "high", "low"])
+            for lo, hi, raw, offs in slices_of(b.column(1)):
+                names, n = words_of(raw, offs)
+                high, low = digests_of(names, n)
+                code = codes_of(*distinct(names, n))
+                arrays = [pa.array(x.view(np.int64)) for x in (code, high, low)]
+                arrays[1] = pa.array(high.view(np.int64), mask=n == 0)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *arrays], ["id", "code", "high", "low"])
 
     sketches = materialize(rows.mapInArrow(sketch, "id long, code long, high long, low long").filter("high is not null"), "sketches")
     # Equal word sequences first: only the smallest id of each goes on.
