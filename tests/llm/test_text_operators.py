@@ -469,6 +469,14 @@ def test_bounds_are_optimal():
             assert len(ends) <= k and ends[-1] == lengths[-1] and cost(ends) == best
 
 
+def test_packing_counts_tokens(spark):
+    rows = [*enumerate(ODD), (100, None), (None, "no id")]
+    want = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"]) for r in token_counts.count_tokens(docs(spark, rows)).collect())
+    got = packing.pack(docs(spark, rows), tokenizer="byte_bpe_50k.json").collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"]) for r in got) == want
+    assert all(r["n_padding"] == r["bucket_len"] - r["n_tokens"] >= 0 for r in got)
+
+
 def test_batches_fit_the_budget(spark):
     rng = np.random.default_rng(2)
     rows = [(i, words(rng, int(n))) for i, n in enumerate(rng.integers(0, 90, 120))] + [(200, None), (201, ""), (None, "a b"), (3, "x"), (300, "w " * 500)]

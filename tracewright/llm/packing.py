@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
+from .token_counts import count_tokens
 
 BUCKETS, BUDGET = 16, 65_536
 #: A token of this packer is a run of characters other than white space.
@@ -59,17 +60,21 @@ def count_words(text):
     return F.coalesce(F.regexp_count(text, F.lit(_WORDS)), F.lit(0)).cast("long")
 
 
-def pack(docs: DataFrame, lengths=None, buckets: int = BUCKETS, budget: int = BUDGET, id_col: str = "doc_id") -> DataFrame:
+def pack(docs: DataFrame, lengths=None, tokenizer: str | None = None, buckets: int = BUCKETS, budget: int = BUDGET, id_col: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, bucket, bucket_len, batch, n_padding.
 
-    ``lengths`` is a column of token counts (default: words of ``text``).  Texts
-    without tokens form bucket 0 of length 0, one batch.  A text longer than the
+    ``lengths`` is a column of token counts; without it ``text`` is counted, with the
+    vocabulary of ``tokenizer`` or, if there is none, in words.  Texts without tokens form bucket 0 of length 0, one batch.  A text longer than the
     budget has a batch of its own.  Null lengths count 0; rows with equal length
     and id are interchangeable; null ids come first among equals.  An empty table
     gives no row.
     """
-    n = F.coalesce(lengths, F.lit(0)).cast("long") if lengths is not None else count_words(F.col("text"))
-    rows = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), n.alias("n_tokens")), "lengths")
+    if lengths is None and tokenizer:
+        rows = count_tokens(docs, tokenizer, id_col=id_col).select("doc_id", "n_tokens")
+    else:
+        n = F.coalesce(lengths, F.lit(0)).cast("long") if lengths is not None else count_words(F.col("text"))
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), n.alias("n_tokens"))
+    rows = materialize(rows, "lengths")
     hist = sorted((r["n_tokens"], r["count"]) for r in rows.filter("n_tokens > 0").groupBy("n_tokens").count().toLocalIterator())
     ends = optimal_bounds(np.array([a for a, _ in hist], np.int64), np.array([b for _, b in hist], np.int64), buckets)
     table = F.array(*[F.lit(e).cast("long") for e in [0, *ends]])

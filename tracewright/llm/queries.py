@@ -39,7 +39,7 @@ def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k.json")
 
 
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

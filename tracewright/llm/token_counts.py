@@ -24,6 +24,7 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,12 @@ def vocabulary_path(tokenizer: str) -> str:
     return public_tokenizers.path(tokenizer)
 
 
+@lru_cache(2)
+def _counter(path: str) -> Counter:
+    """One for all tasks of a worker process."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
@@ -154,7 +161,7 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary_path(tokenizer))
+        counter = _counter(vocabulary_path(tokenizer))
         for b in batches:
             texts = [x or "" for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counter.counts(texts))], ["doc_id", "n_bytes", "n_tokens"])
