@@ -2,41 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows that carry a label are learned from unless crc32 of the id modulo this is 0.
-FOLDS = 5
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = at.get() if at.isDefined() else None
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tracewright-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+from ..sources.scratch import shared_path, staged
 
+__all__ = ["drop_table", "fold_of", "held_out", "join_hot", "labelled_ids", "labelled_texts", "materialize", "shared_path", "text_buffer", "texts_of"]
 
-def shared_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/tracewright/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+#: Rows that carry a label are learned from unless crc32 of the id modulo this is 0.
+FOLDS = 5
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = shared_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Write a table to the shared folder and read it again: cuts lineage, survives lost executors.
+materialize = staged
 
 
 def drop_table(df: DataFrame) -> None:

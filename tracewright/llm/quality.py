@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import drop_table, held_out, labelled_texts, texts_of
 
 SAMPLE, VOCABULARY, DIM, NONZERO, WINDOW, HIDDEN = 6000, 6000, 64, 6, 2, 24
-_CACHE = 300_000
+_CACHE = 150_000
 _MARKS = ".,;:!?*#$%&|"
 _ROWS = "doc_id long, label int, features array<double>"
 

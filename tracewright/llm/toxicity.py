@@ -30,7 +30,7 @@ from .common import drop_table, held_out, labelled_texts, texts_of
 
 SAMPLE, TERMS, WINDOW, SUPPORT, PRECISION = 12_000, 400, 6, 6, 0.8
 _STEMS, _ENDINGS = (4, 5, 6, 7, 8), 4
-_CACHE, _STATES = 300_000, 100_000
+_CACHE, _STATES = 150_000, 40_000
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»„“”‘’¿¡…–—"
 #: Quotation marks, verbs of reporting and second persons.
 QUOTES = set("\"«»„“”")
@@ -157,8 +157,9 @@ class Scanner:
         """(words, hits): each hit with its term, edits, whether it is quoted, whether a second person is near."""
         words = text.lower().split()
         kinds = set(words)
-        if len(self.known) > _CACHE:
+        if len(self.known) > _CACHE:  # stems take any ending, so hits grow with the texts as well
             self.known.clear()
+            self.hits.clear()
         for w in kinds.difference(self.known):
             self.known[w] = None
             found = self.automaton.find(clean(w))
