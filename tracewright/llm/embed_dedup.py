@@ -12,7 +12,8 @@ Cells are cut into blocks of bounded size and each two blocks are compared by on
 task, in smaller products.  A task returns each row's number of links and a
 spanning forest, never all pairs.
 
-Centres are fitted on a bounded sample, per label for the labels that hold much of
+Centres are fitted on a bounded sample, as many as keep the number of cells that a
+vector enters small (measured on the sample), per label for the labels that hold much of
 the table and for all others together; the assignment, and what is compared, cover
 all rows.
 """
@@ -33,6 +34,8 @@ from .components import connected_components, spanning
 
 #: Rows of the sample, rows per cell, most cells of a label, labels with centres of their own, rows of a block and of a product.
 COSINE, SAMPLE, CELL_ROWS, MOST_CELLS, OWN_LABELS, TILE, BLOCK = 0.93, 16_384, 64, 1024, 64, 4096, 512
+#: Cells that a vector enters on average, at most; a label whose vectors would enter more gets fewer cells.
+ENTERED = 6.0
 #: Cosines this near to the limit are decided by one exact sum; cells of many rows up to which their table is broadcast.
 EDGE, FEW_CELLS = 1e-9, 10_000
 
@@ -129,7 +132,12 @@ def _centres(same: DataFrame, sample: int, cell_rows: int, cosine: float) -> tup
     x = unit(x) if len(x) else x
 
     def fit(rows: np.ndarray, n: int) -> np.ndarray:
-        return spherical_kmeans(rows, int(min(MOST_CELLS, max(1, n // cell_rows), len(rows))))
+        k = int(min(MOST_CELLS, max(1, n // cell_rows), len(rows)))
+        while True:  # copies go with the cells entered, comparisons with the size of a cell
+            found = spherical_kmeans(rows, k)
+            if k == 1 or cells_of(rows, found, cosine)[1].sum(1).mean() <= ENTERED:
+                return found
+            k //= 2
 
     other = x[~np.isin(label, list(own))]
     return {k: fit(x[label == k], n) for k, n in own.items() if (label == k).any()}, fit(other, most) if len(other) else np.zeros((1, x.shape[1]))
