@@ -16,6 +16,11 @@ def lookup(table: dict, key: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
 
 
+def once(x: Column) -> Column:
+    """``x``, computed where it stands: the optimizer copies it into no filter or later column that reads it."""
+    return F.when(F.spark_partition_id() >= 0, x)
+
+
 def micros(ts: Column) -> Column:
     """Microseconds since the epoch of a timestamp without zone."""
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
@@ -38,14 +43,22 @@ def pri_severity(line: Column) -> Column:
 def severity_of(message: Column, pri: Column) -> Column:
     """First matching pattern, else the first severity word, else the PRI's, else INFO.
 
-    One alternation of all patterns rules them out together for most messages.
+    One alternation of all patterns rules them out together for most messages; the
+    patterns themselves stand in a function of their own, which keeps the generated
+    code of the whole line small enough to be compiled.
     """
     word = F.upper(F.regexp_extract(message, rf"(?i)\b({WORDS})\b", 1))
     words = F.coalesce(F.when(word != "", lookup(SEVERITY_WORDS, word)), pri, F.lit("INFO"))
-    start = F.when(~message.rlike("(?i)" + "|".join(f"(?:{p})" for p, _ in SEVERITY_PATTERNS)), words)
-    for pattern, level in SEVERITY_PATTERNS:
-        start = start.when(message.rlike(f"(?i){pattern}"), level)
-    return start.otherwise(words)
+
+    def first(m: Column) -> Column:
+        start = None
+        for pattern, level in SEVERITY_PATTERNS:
+            hit = m.rlike(f"(?i){pattern}")
+            start = F.when(hit, level) if start is None else start.when(hit, level)
+        return start
+
+    some = message.rlike("(?i)" + "|".join(f"(?:{p})" for p, _ in SEVERITY_PATTERNS))
+    return F.when(some, F.element_at(F.transform(F.array(message), first), 1)).otherwise(words)
 
 
 def service_name(rest: Column) -> Column:

@@ -105,11 +105,10 @@ def normalize(lines: DataFrame, column: str = "value", year: int | None = None)
 
     Blank lines, comments, fractional seconds and version fields do not parse.
     """
-    raw = F.trim(F.col(column))
-    staged = lines.withColumn("raw_text", raw)
+    staged = lines.withColumn("raw_text", F.trim(F.col(column)))
     staged = staged.withColumns({"_pri": X.pri_severity(F.col("raw_text")), "_line": F.regexp_replace("raw_text", r"^<\d{1,3}>", "")})
     staged = parse_timestamp(staged, "_line", year)
-    staged = staged.withColumn("timestamp", F.when(~F.startswith("raw_text", F.lit("#")), F.col("timestamp"))).withColumn("_cut", F.split("rest", r"\s+", 2))
+    staged = staged.withColumn("timestamp", X.once(F.when(~F.startswith("raw_text", F.lit("#")), F.col("timestamp")))).withColumn("_cut", F.split("rest", r"\s+", 2))
     host = F.get("_cut", F.lit(0))
     staged = staged.withColumns({"host": F.when(host == "", "unknown").otherwise(host), "rest": F.coalesce(F.get("_cut", F.lit(1)), F.lit(""))})
     staged = staged.withColumns({"_name": X.service_name(F.col("rest")), "message": X.message_of(F.col("rest"))})
