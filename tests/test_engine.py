@@ -1,13 +1,17 @@
 """Behaviour of single operators on small frames."""
 
 import datetime as dt
+import os
+from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tracewright.config import Config
 from tracewright.functions import expr as X
 from tracewright.operators import anomaly, baseline, evaluation, features, graph, scoring, sessions, templates
+from tracewright.operators.models import ModelStore
 from tracewright.plans import views
 from tracewright.plans.pipeline import ORDER, Pipeline
 from tracewright.sources import logs, sinks
@@ -262,6 +266,7 @@ def test_streams(spark, tmp_path):
     batch = frame(spark, [0, 1], frequency=2)
     run(batch, 0)
     run(batch, 1)
+    run(batch, 1)  # a replay
     assert spark.read.parquet(store).first()["n"] == 1 and state.rows == 4
 
 
@@ -270,9 +275,114 @@ def test_search_documents_and_stage_files(spark, tmp_path):
     assert tuple(sinks.search_documents(rows).select("log_id", "host", "final_score", "is_anomaly").first()) == ("log_7", "", 0.0, False)
     (tmp_path / "src").mkdir()
     (tmp_path / "src" / "x.log").write_text("a\nb\n")
-    assert len(logs.stage_files(str(tmp_path / "src"), str(tmp_path / "dst"))) == 1
+    assert len(logs.stage_files(spark, str(tmp_path / "src"), str(tmp_path / "dst"))) == 1
     assert logs.read_lines(spark, str(tmp_path / "dst")).count() == 2
     with pytest.raises(ValueError):
         logs.require_columns(rows, ["nothing"])
     with pytest.raises(FileNotFoundError):
         logs.read_ground_truth(spark, str(tmp_path))
+
+
+def test_first_upsert_and_swaps_cut_off(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("k", 1), ("k", 2), (None, 3)], "k string, v int")
+    sinks.upsert_table(spark, path, rows, ["k"])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("k", 2)]
+    os.rename(path, path + ".old")  # cut off after the first rename, the new version complete
+    sinks.write_table(rows.filter("v = 3").fillna("n"), path + ".new")
+    assert [tuple(r) for r in logs.read_table(spark, path).collect()] == [("n", 3)] and not os.path.exists(path + ".old")
+    os.rename(path, path + ".old")  # cut off with nothing new
+    assert [tuple(r) for r in logs.read_table(spark, path).collect()] == [("n", 3)]
+
+
+def test_stored_tables(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", 5)], "sequence_number int, host string, other int")
+    for day in (1, 2):
+        sinks.store(spark, str(tmp_path), "logs", rows.unionByName(rows.withColumn("sequence_number", F.lit(day + 1))), now=datetime(2024, 1, day))
+    got = spark.read.parquet(str(tmp_path / "logs"))
+    assert got.columns == [c.split()[0] for c in sinks.TABLES["logs"].split(", ")] + ["created_at", "updated_at"]
+    assert sorted((r["sequence_number"], r["created_at"].day, r["updated_at"].day) for r in got.collect()) == [(1, 1, 2), (2, 1, 1), (3, 2, 2)]
+    assert set(sinks.TABLES) <= set(sinks.KEYS)
+
+
+def test_numbers_in_file_order(spark, tmp_path):
+    sizes = {"a.log": 3, "b.log": 20_000, "c.txt": 500, "d.csv": 9}
+    for name, n in sizes.items():
+        (tmp_path / name).write_text("".join(f"{name} {i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    got = {r["sequence_number"]: r["value"] for r in logs.number_lines(logs.read_lines(spark, str(tmp_path)), F.col("value") != "b.log 7").collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [f"{name} {i}" for name in ("a.log", "b.log", "c.txt") for i in range(sizes[name]) if f"{name} {i}" != "b.log 7"]
+    assert [got[i + 1] for i in range(len(want))] == want and len(got) == len(want)
+    assert logs.number_lines(logs.read_lines(spark, str(tmp_path)).limit(0)).count() == 0
+
+
+def test_confusion_keeps_rows_without_truth(spark, tmp_path):
+    rows = spark.createDataFrame([(1, True), (2, True), (3, False)], "sequence_number long, is_anomaly boolean")
+    truth = spark.createDataFrame([(1, "anomaly"), (1, "normal")], "sequence_number long, true_label string").coalesce(1)
+    r = evaluation.confusion(rows, truth).first()
+    assert (r["tp"], r["fp"], r["fn"], r["tn"]) == (1, 1, 0, 1)
+    scores = rows.withColumns({"combined_score": F.col("sequence_number") / 10, "model_confidence": F.lit(1.0)})
+    named = spark.createDataFrame([(1, "A"), (3, "C")], "sequence_number long, template_id string")
+    e = evaluation.evaluate(scores, named, truth).first()
+    assert e["top_anomalous_templates"] == ["C", None, "A"] and e["count"] == 3 and e["precision"] == 0.5
+    text = evaluation.save_report(evaluation.evaluate(scores, named), str(tmp_path / "report.txt"))
+    assert (tmp_path / "report.txt").read_text() == text + "\n" and "anomaly_rate: 0.6667" in text
+    both = evaluation.labelled_scores(spark.createDataFrame([("log_1", "low", 0.4)], "log_id string, label string, score double"), spark.createDataFrame([("log_1", "critical")], "log_id string, label string"))
+    assert both.columns == ["log_id", "label_pred", "score", "label_true"] and both.count() == 1
+
+
+def test_model_lifecycle(spark, tmp_path, caplog):
+    store = ModelStore(spark, str(tmp_path), Config(trees=5, subsample=32, min_train_rows=50, retrain_every=100))
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 7))
+    df = spark.createDataFrame([(i, f"s{i // 10}", datetime(2024, 1, 1 + i // 10), *map(float, v)) for i, v in enumerate(x)], "sequence_number long, session_id string, timestamp timestamp, " + ", ".join(f"{c} double" for c in anomaly.FEATURES))
+    assert store.load() is None and store.versions() == []
+    few = store.detect(df.limit(20)).collect()
+    assert len(few) == 20 and {r["model_confidence"] for r in few} == {0.0}
+    first = store.detect(df, time="20240101_000000").orderBy("sequence_number").collect()
+    assert store.versions() == ["20240101_000000"] and store.state().trained_at == 120
+    assert store.maybe_retrain(df) is None
+    assert store.load().to_json() == store.load("20240101_000000").to_json() and len(first) == 120
+    assert [r["isolation_score"] for r in store.detect(df).orderBy("sequence_number").collect()] == [r["isolation_score"] for r in first]
+    newer = store.save(store.load(), "20250101_000000")
+    side = tmp_path / f"isolation_forest_v{newer}.json"
+    about = side.read_text()
+    for bad in (about.replace("zscore_base", "zscore_bass"), about.replace('"numpy": "', '"numpy": "9'), "{"):
+        side.write_text(bad)
+        (tmp_path / f".isolation_forest_v{newer}.json.crc").unlink(missing_ok=True)
+        assert store.load() is None and store.problem(newer)
+    side.unlink()
+    assert store.problem(newer) == "no sidecar"
+    with pytest.raises(FileNotFoundError):
+        store.load("19990101_000000")
+
+
+def test_graph_cache_and_document(spark, tmp_path):
+    rows = frame(spark, [0, 10, 20, 30], template=["A", "B", "A", "C"], frequency=1)
+    folder = str(tmp_path / "cache")
+    nodes, links = graph.cached_graph(rows, folder)
+    made = os.stat(folder + "/edges").st_mtime_ns
+    again = graph.cached_graph(rows.orderBy(F.desc("sequence_number")), folder)[1]
+    assert sorted(again.collect()) == sorted(links.collect()) and os.stat(folder + "/edges").st_mtime_ns == made
+    assert graph.fingerprint(rows) != graph.fingerprint(rows.withColumn("template_id", F.lit("Z")))
+    assert graph.cached_graph(rows.withColumn("template_id", F.lit("Z")), folder)[0].count() == 1
+    nodes, links = graph.cached_graph(rows, folder)
+    graph.graph_document(nodes, links, graph.node_scores(nodes, links)).write.text(str(tmp_path / "g.json"))
+    n, e = graph.read_graph(spark, str(tmp_path / "g.json"))
+    assert {r["id"] for r in n.collect()} == {"A", "B", "C"} and e.count() == 3
+
+
+def test_summaries_presets_and_search_rows(spark):
+    context = spark.createDataFrame([(f"INC-{i}", 3, "h1", 65, "low", "A -> B", "none") for i in range(4)], "correlation_id string, log_count long, hosts string, duration_s long, worst_label string, sequence string, root_causes string")
+    stored = spark.createDataFrame([("INC-0", "kept")], "correlation_id string, summary_text string")
+    assert views.get_summary(stored, "INC-0") == "kept" and views.get_summary(stored, "INC-1") is None
+    mine = lambda df: df.filter("correlation_id <> 'INC-3'").select("correlation_id", F.when(F.col("correlation_id") == "INC-1", "mine").otherwise(" ").alias("summary_text"))
+    got = {r[0]: r[1] for r in views.summarize_missing(context, stored, mine).collect()}
+    assert set(got) == {"INC-1", "INC-2", "INC-3"} and got["INC-1"] == "mine" and got["INC-2"].startswith("3 logs") and got["INC-3"].startswith("3 logs")
+    rows = frame(spark, [0, 3600, 7200])
+    last = rows.agg(F.max("timestamp")).first()[0]
+    assert [views.recent(rows, h, last).count() for h in (1, 6)] == [2, 3]
+    found = sinks.search_rows(spark.createDataFrame([(1, 0.5), (9, 0.1)], "sequence_number long, final_score double"), spark.createDataFrame([(1, "h", 0.9)], "sequence_number long, host string, final_score double"))
+    assert sorted(map(tuple, found.collect())) == [(1, 0.5, "h"), (9, 0.1, None)]

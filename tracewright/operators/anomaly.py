@@ -17,7 +17,8 @@ from .baseline import last_sessions
 from .features import finite
 
 FEATURES = ["frequency_score", "burstiness_score", "zscore_base", "time_delta_prev", "time_delta_session_start", "inter_arrival_rate", "counter_proximity"]
-_FORMAT = 1
+FORMAT = 1
+OUTPUT = ["sequence_number", "isolation_score", "zscore_norm", "combined_score", "is_anomaly", "model_confidence"]
 
 
 def _average_path(n):
@@ -38,7 +39,7 @@ class Forest:
     depth: list[list[float]]
     psi: int
     rows: int
-    format: int = _FORMAT
+    format: int = FORMAT
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -47,8 +48,8 @@ class Forest:
     def from_json(cls, text: str, features: list[str] | None = None) -> Forest:
         """The model; refused if its format or its ordered features differ."""
         d = json.loads(text)
-        if d["format"] != _FORMAT:
-            raise ValueError(f"model format {d['format']}, expected {_FORMAT}")
+        if d["format"] != FORMAT:
+            raise ValueError(f"model format {d['format']}, expected {FORMAT}")
         if d["features"] != (features or FEATURES):
             raise ValueError(f"model features {d['features']}, expected {features or FEATURES}")
         return cls(**d)
@@ -163,7 +164,7 @@ def detect(features: DataFrame, forest: Forest | None = None, config: Config = D
         forest = train_forest(rows, config=config)
     rows = staged(add_isolation(rows, forest).select("sequence_number", "zscore_base", "raw_isolation"), "isolation")
     out = combine(minmax_isolation(rows), forest.rows, config)
-    return dynamic_threshold(out, config=config).select("sequence_number", "isolation_score", "zscore_norm", "combined_score", "is_anomaly", "model_confidence")
+    return dynamic_threshold(out, config=config).select(*OUTPUT)
 
 
 def retrain(features: DataFrame, config: Config = DEFAULT) -> Forest | None:

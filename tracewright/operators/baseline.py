@@ -70,8 +70,12 @@ class RetrainState:
 
     rows: int = 0
     trained_at: int = 0
+    last_batch: int = -1
 
-    def absorb(self, n: int, config: Config = DEFAULT) -> bool:
+    def absorb(self, n: int, config: Config = DEFAULT, batch: int | None = None) -> bool:
+        """Count n rows; those of a batch that was counted before do not count again."""
+        if batch is not None:
+            n, self.last_batch = (n if batch > self.last_batch else 0), max(batch, self.last_batch)
         self.rows += n
         return self.rows - self.trained_at >= config.retrain_every
 
@@ -79,7 +83,7 @@ class RetrainState:
         self.trained_at = self.rows
 
     def to_json(self) -> str:
-        return json.dumps({"rows": self.rows, "trained_at": self.trained_at})
+        return json.dumps({"rows": self.rows, "trained_at": self.trained_at, "last_batch": self.last_batch})
 
     @classmethod
     def from_json(cls, text: str) -> RetrainState:

@@ -6,11 +6,12 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import expr as X
+from ..sources import files
 from ..sources.scratch import staged
 
 NODE_SCORES = "template_id string, component string, pagerank double, betweenness double, degree long"
@@ -202,6 +203,37 @@ def graph_scores(rows: DataFrame, window_s: int | None = None, sequence_window_s
     )
 
 
+def fingerprint(rows: DataFrame) -> str:
+    """A digest of what a graph is made from: the count and a sum of hashes, whatever the order of rows."""
+    h = F.xxhash64("session_id", "template_id", "timestamp", "frequency").cast("decimal(38,0)")
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("h"), F.count_distinct("session_id").alias("s")).first()
+    return f"{r['n']}-{r['h'] or 0}-{r['s']}"
+
+
+def cached_graph(rows: DataFrame, folder: str, window_s: int | None = None, config: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) from ``folder`` if they were made from equal rows and settings, else built and written there."""
+    spark = rows.sparkSession
+    mark = f"{fingerprint(rows)}-{window_s or config.graph_window_s}-{config.graph_max_nodes}"
+    try:
+        fresh = files.read_text(spark, f"{folder}/fingerprint") == mark
+    except FileNotFoundError:
+        fresh = False
+    if not fresh:
+        files.delete(spark, f"{folder}/fingerprint")
+        rows = staged(rows.select("session_id", "template_id", "timestamp", "frequency"), "graph-rows")
+        nodes = staged(top_templates(rows, config=config), "graph-nodes")
+        nodes.write.mode("overwrite").parquet(f"{folder}/nodes")
+        edges(rows, nodes, window_s, config).write.mode("overwrite").parquet(f"{folder}/edges")
+        files.write_text(spark, f"{folder}/fingerprint", mark)
+    return spark.read.parquet(f"{folder}/nodes"), spark.read.parquet(f"{folder}/edges")
+
+
+def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of an exported graph document."""
+    doc = spark.read.option("multiLine", "true").json(path)
+    return doc.select(F.inline("nodes")), doc.select(F.inline("edges"))
+
+
 def graph_document(nodes: DataFrame, links: DataFrame, scores: DataFrame) -> DataFrame:
     """One row with the graph as JSON; floats have six decimals; at most graph_max_nodes nodes."""
     n = nodes.join(scores, "template_id").select(F.struct(F.col("template_id").alias("id"), "frequency", F.col("component").alias("cluster_id"), F.round("pagerank", 6).alias("centrality_score")).alias("x"))

@@ -68,6 +68,11 @@ def template_stats(rows: DataFrame) -> DataFrame:
     return stats.withColumn("pct", F.round(100 * F.col("count") / total, 2)).orderBy(F.desc("count"), "template_id")
 
 
+def template_list(rows: DataFrame) -> DataFrame:
+    """(template_id, template, count) of all templates, the commonest first."""
+    return rows.groupBy("template_id").agg(F.min("template").alias("template"), F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "template_id")
+
+
 def template_warning(n_templates: int) -> str | None:
     """A hint when the number of templates looks too small or too large."""
     return "too coarse" if n_templates < 5 else "too granular" if n_templates > 200 else None

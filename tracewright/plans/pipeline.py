@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..operators import anomaly, baseline, features, graph, scoring, sessions, templates
+from ..operators import baseline, features, graph, scoring, sessions, templates
+from ..operators.models import ModelStore
 from ..sources import logs, sinks
 from . import views
 
@@ -29,6 +30,8 @@ class Pipeline:
     year: int | None = None
     config: Config = DEFAULT
     done: list[str] = field(default_factory=list)
+    warning: str | None = None
+    summariser: Callable[[DataFrame], DataFrame] | None = None
 
     def read(self, name: str) -> DataFrame:
         return logs.read_table(self.spark, f"{self.folder}/{name}")
@@ -39,7 +42,11 @@ class Pipeline:
 
     def parsing(self, source: DataFrame) -> None:
         rows = logs.number_lines(logs.normalize(source, year=self.year), keep=F.col("timestamp").isNotNull())
-        self.write(sessions.sessionized_logs(templates.mine_templates(rows, self.config), self.config), "sessionized_logs")
+        mined = self.write(templates.mine_templates(rows, self.config), "_mined")
+        found = self.write(templates.template_list(mined), "templates")
+        sinks.write_csv(found, f"{self.folder}/templates.csv")
+        self.warning = templates.template_warning(found.count())
+        self.write(sessions.sessionized_logs(mined, self.config), "sessionized_logs")
 
     def features(self) -> None:
         rows = self.read("sessionized_logs")
@@ -54,12 +61,17 @@ class Pipeline:
         self.write(baseline.last_sessions(out, self.config.rolling_sessions), "feature_rolling_store")
 
     def anomaly(self) -> None:
-        self.write(anomaly.detect(self.read("features"), config=self.config), "anomaly")
+        """Score with the newest saved model; a retrained one serves the next run."""
+        models = ModelStore(self.spark, f"{self.folder}/models", self.config)
+        history = self.read("feature_rolling_store")
+        self.write(models.detect(self.read("features"), history), "anomaly")
 
     def correlation(self) -> None:
         rows = self.read("sessionized_logs")
         self.write(graph.graph_scores(rows, config=self.config), "graph_scores")
-        self.write(graph.sequences(rows, config=self.config), "sequences")
+        sinks.write_sequences(self.write(graph.sequences(rows, config=self.config), "sequences"), f"{self.folder}/sequences.json")
+        nodes, links = graph.cached_graph(rows, f"{self.folder}/graph_cache", config=self.config)
+        graph.graph_document(nodes, links, graph.node_scores(nodes, links, self.config)).write.mode("overwrite").text(f"{self.folder}/graph.json")
 
     def scoring(self) -> None:
         merged = scoring.importance(scoring.merge_scores(self.read("features"), self.read("anomaly"), self.read("graph_scores")), self.config)
@@ -70,8 +82,20 @@ class Pipeline:
     def storage(self) -> None:
         rows = self.read("sessionized_logs").join(self.read("scored_logs"), "sequence_number")
         causes = self.read("root_causes")
-        sinks.upsert_table(self.spark, f"{self.folder}/incidents", views.best_causes(views.incident_rollup(rows), causes), ["correlation_id"])
-        sinks.upsert_table(self.spark, f"{self.folder}/summaries", views.summarize(views.summary_context(rows, causes)), ["correlation_id"])
+        for name, table in (("logs", rows), ("features", self.read("features")), ("anomalies", self.read("anomaly")), ("scores", rows)):
+            sinks.store(self.spark, f"{self.folder}/store", name, table)
+        best = views.best_causes(views.incident_rollup(rows), causes)
+        found = best.withColumnsRenamed({"correlation_id": "incident_id", "confidence_score": "root_cause_confidence"})
+        sinks.store(self.spark, f"{self.folder}/store", "incidents", found.withColumns({"severity": F.col("label"), "status": F.lit("open")}))
+        sinks.upsert_table(self.spark, f"{self.folder}/incidents", best, ["correlation_id"])
+        context = views.summary_context(rows, causes)
+        try:
+            known = self.read("summaries")
+        except FileNotFoundError:
+            known = self.spark.createDataFrame([], "correlation_id string, summary_text string")
+        new = views.summarize_missing(context, known, self.summariser)
+        sinks.store(self.spark, f"{self.folder}/store", "summaries", new)
+        sinks.upsert_table(self.spark, f"{self.folder}/summaries", new, ["correlation_id"])
 
     def run(self, source: DataFrame | None = None, from_step: str = "parsing", dry_run: bool = False) -> list[str]:
         """Run the stages from ``from_step`` on; returns their names.  A dry run only names them."""

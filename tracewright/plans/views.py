@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,7 +151,32 @@ def missing_summaries(context: DataFrame, summaries: DataFrame) -> DataFrame:
     return context.join(summaries, "correlation_id", "left_anti")
 
 
+def get_summary(summaries: DataFrame, incident: str) -> str | None:
+    row = summaries.filter(F.col("correlation_id") == incident).select("summary_text").first()
+    return row[0] if row else None
+
+
+#: Hours of the time windows on offer (fixed values); a week is the default.
+PRESET_HOURS = (1, 6, 24, 168, 720)
+
+
+def recent(rows: DataFrame, hours: int = 168, now=None, column: str = "timestamp") -> DataFrame:
+    """Rows of the last hours before ``now``, by default before the current time."""
+    now = (F.lit(now) if now is not None else F.current_timestamp()).cast("timestamp_ntz")
+    return rows.filter((F.col(column) >= F.timestamp_add("HOUR", F.lit(-hours), now)) & (F.col(column) <= now))
+
+
+def summarize_missing(context: DataFrame, stored: DataFrame, summariser: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Summaries of the incidents that have none; where a summariser gives no text, the template's counts."""
+    todo = missing_summaries(context, stored.select("correlation_id"))
+    plain = summarize(todo)
+    if summariser is None:
+        return plain
+    got = summariser(todo).select("correlation_id", F.trim("summary_text").alias("_text"))
+    return plain.join(got, "correlation_id", "left").select("correlation_id", F.coalesce(F.nullif("_text", F.lit("")), "summary_text").alias("summary_text"))
+
+
 def summarize(context: DataFrame) -> DataFrame:
-    """A deterministic summary text; another summariser may replace it by mapping over the same rows."""
+    """A deterministic summary text; ``summarize_missing`` takes another summariser."""
     text = F.format_string("%d logs on %s over %s, worst label %s: %s. Root causes: %s.", "log_count", "hosts", X.duration_text(F.col("duration_s")), "worst_label", "sequence", "root_causes")
     return context.select("correlation_id", text.alias("summary_text"))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import shutil
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import expr as X
+from . import files, sinks
+from .scratch import staged
 
 
 def require_columns(df: DataFrame, columns: list[str], what: str = "table") -> DataFrame:
@@ -19,32 +18,31 @@ def require_columns(df: DataFrame, columns: list[str], what: str = "table") -> D
     return df
 
 
-def stage_files(source: str, target: str, move: bool = False) -> list[str]:
-    """Copy or move one file, or all *.log and then *.txt below a folder, into ``target``."""
-    src, out = Path(source), Path(target)
-    if not src.exists():
+def stage_files(spark: SparkSession, source: str, target: str, move: bool = False) -> list[str]:
+    """Copy or move one file, or all *.log and then *.txt below a folder, into ``target``; works on any file system."""
+    if not files.exists(spark, source):
         raise FileNotFoundError(source)
-    files = [src] if src.is_file() else [*sorted(src.rglob("*.log")), *sorted(src.rglob("*.txt"))]
-    if not files:
+    found = [*files.listed(spark, source, "*.log", below=True), *files.listed(spark, source, "*.txt", below=True)] if files.is_folder(spark, source) else [source]
+    if not found:
         raise ValueError(f"no log files below {source}")
-    out.mkdir(parents=True, exist_ok=True)
     done = []
-    for f in files:
-        (shutil.move if move else shutil.copy2)(str(f), str(out / f.name))
-        done.append(str(out / f.name))
+    for f in found:
+        done.append(f"{target.rstrip('/')}/{f.rsplit('/', 1)[1]}")
+        files.copy(spark, f, done[-1], move)
     return done
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value) of all text files at a path, folders included."""
-    return spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    """(file, block, value) of a text file, or of all *.log and *.txt files below a folder; ``block`` is where in the file its part begins."""
+    read = spark.read.option("recursiveFileLookup", "true")
+    read = read.option("pathGlobFilter", "*.{log,txt}") if files.is_folder(spark, path) else read
+    return read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A parquet table; a clear error if it is missing."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    sinks.recover(spark, path)
+    if not files.exists(spark, path):
         raise FileNotFoundError(f"{path}: run the stage that writes it first")
     return spark.read.parquet(path)
 
@@ -64,20 +62,20 @@ def read_ground_truth(spark: SparkSession, folder: str) -> DataFrame:
 def number_lines(lines: DataFrame, keep: Column | None = None) -> DataFrame:
     """Dense numbers from 1 in file order over the rows where ``keep`` holds.
 
-    Line order comes from the scan; numbers are a count per partition plus an
-    offset, so no row moves to a single task.
+    Files come in the order of their names and parts of a file by where they begin, if
+    ``lines`` tells (columns file and block), else parts as the scan has them.  Rows
+    are written once with their place, so that numbers do not change when a lost task
+    runs again; a number is a row's place in its part and a count of the parts before.
     """
     rows = lines.filter(keep) if keep is not None else lines
-    tagged = rows.select(F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"), "*").persist()
-    counts = tagged.groupBy("part").count().collect()  # one row per partition
-    offsets, total = {}, 0
-    for r in sorted(counts, key=lambda r: r["part"]):
-        offsets[r["part"]], total = total, total + r["count"]
-    if not offsets:
-        return tagged.select(F.lit(0).cast("long").alias("sequence_number"), *lines.columns)
-    before = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), F.col("part"))
-    inside = F.row_number().over(Window.partitionBy("part").orderBy("at"))
-    return tagged.select((before + inside).cast("long").alias("sequence_number"), *lines.columns)
+    at = F.monotonically_increasing_id()
+    part = ["file", "block"] if {"file", "block"} <= set(lines.columns) else ["_part"]
+    tagged = staged(rows.select(at.alias("_at"), F.shiftright(at, 33).alias("_part"), *lines.columns), "lines")
+    parts = tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    order = Window.orderBy(*part)  # over the parts of the input, not its rows
+    parts = parts.select(*[F.col(c).alias(f"_{c}_key") for c in part], "_first", (F.sum("_n").over(order) - F.col("_n")).alias("_before"))
+    both = tagged.join(parts, [F.col(c).eqNullSafe(F.col(f"_{c}_key")) for c in part])
+    return both.select((F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("sequence_number"), *lines.columns)
 
 
 ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}\s+."

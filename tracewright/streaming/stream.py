@@ -15,7 +15,7 @@ from ..sources import logs, sinks
 
 def read_landing(spark: SparkSession, folder: str, source_type: str = "switch", per_trigger: int = 1000) -> DataFrame:
     """Lines of files as they arrive in a folder, enriched with constants."""
-    lines = spark.readStream.option("maxFilesPerTrigger", per_trigger).text(folder)
+    lines = spark.readStream.option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", "*.{log,txt}").text(folder)
     return lines.withColumns({"source_type": F.lit(source_type), "ingested_at": F.current_timestamp()})
 
 
@@ -40,7 +40,7 @@ def rate_stream(parsed: DataFrame, every: str = "5 minutes", late: str = "1 hour
 def baseline_batch(store_path: str, state: baseline.RetrainState, retrain: Callable[[DataFrame], None] | None = None, config: Config = DEFAULT) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function: merges sessionized rows into the Welford store; replays change nothing."""
 
-    def run(batch: DataFrame, _: int) -> None:
+    def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
@@ -48,7 +48,7 @@ def baseline_batch(store_path: str, state: baseline.RetrainState, retrain: Calla
         except FileNotFoundError:
             store = spark.createDataFrame([], baseline.STORE)
         sinks.upsert_table(spark, store_path, baseline.merge_welford(store, batch), ["host", "template_id"])
-        if state.absorb(batch.count(), config) and retrain is not None:
+        if state.absorb(batch.count(), config, number) and retrain is not None:
             retrain(batch)
             state.trained()
         batch.unpersist()
