@@ -30,6 +30,23 @@ def clip(x: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
 
 
+def draw(n: Column, turn: int, seed: int = 42) -> Column:
+    """A pseudo-random number in (0, 1) from a number below 2**32: three rounds of multiplying and folding, which SQL says alike."""
+    x = (n.cast("long") + 1 + 65_537 * turn + 7919 * seed) % (1 << 32)
+    for factor in (1_597_334_677, 1_103_515_245, 1_664_525_013):
+        x = (x * factor) % (1 << 32)
+        x = x.bitwiseXOR(F.shiftright(x, 15))
+    return (x + 0.5) / (1 << 32)
+
+
+def draw_sql(n: str, turn: int, seed: int = 42) -> str:
+    """``draw`` in SQL."""
+    x = f"((CAST({n} AS BIGINT) + 1 + {65_537 * turn + 7919 * seed}) % {1 << 32})"
+    for factor in (1_597_334_677, 1_103_515_245, 1_664_525_013):
+        x = f"(SELECT xor(z, z >> 15) FROM (SELECT ({x} * {factor}) % {1 << 32} AS z))"
+    return f"(({x}) + 0.5) / {1 << 32}"
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den).otherwise(F.lit(0.0))
 

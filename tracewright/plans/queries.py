@@ -7,14 +7,17 @@ decorated function builds the same rows from the engine's operators.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import COUNTER_PATTERNS, SEVERITY_PATTERNS, VARIABLE_TOKEN
 from ..functions import expr as X
 from ..operators import anomaly, baseline, evaluation, features, graph, scoring, sessions, templates
+from ..operators.models import ModelStore
 from ..sources import logs, sinks
-from ..sources.scratch import staged
+from ..sources.scratch import shared_path, staged
 from . import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -262,10 +265,9 @@ def severity_infer(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", X.severity_of(F.coalesce("text", F.lit("")), F.lit(None).cast("string")).alias("severity"))
 
 
-_VAR = r"^(\d+|\d+\.\d+|\d+/\d+(/\d+)*|\d{1,3}(\.\d{1,3}){3}(/\d+)?|\d+[kmgKMG]?[bB]?|\d+%|\d+ms|[0-9a-fA-F]{2}(:[0-9a-fA-F]{2}){5})$"
 
 
-@query(f"SELECT sequence_number, array_to_string(list_transform(string_split_regex(trim(message), '\\s+'), lambda t: CASE WHEN regexp_matches(t, '{_VAR}') THEN '<*>' ELSE t END), ' ') AS tokens FROM logs")
+@query(f"SELECT sequence_number, array_to_string(list_transform(string_split_regex(trim(message), '\\s+'), lambda t: CASE WHEN regexp_matches(t, '{VARIABLE_TOKEN}') THEN '<*>' ELSE t END), ' ') AS tokens FROM logs")
 def tokenize(spark, d):
     return log_rows(spark, d).select("sequence_number", F.array_join(X.tokens(F.col("message")), " ").alias("tokens"))
 
@@ -304,30 +306,66 @@ def drain_events(spark, d):
     return templates.mine_templates(log_rows(spark, d).drop("template_id")).select("sequence_number", "template_id")
 
 
-@query("SELECT event_id, row_number() OVER (ORDER BY event_id) AS line_number FROM events WHERE event_id % 3 <> 0")
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) AS line_number FROM events WHERE event_type <> 'error'")
 def number_lines(spark, d):
-    got = logs.number_lines(table(spark, d, "events").select("event_id"), F.col("event_id") % 3 != 0)
+    """Dense numbers of the lines that are kept, as when lines without a time are dropped."""
+    got = logs.number_lines(table(spark, d, "events").select("event_id", "event_type"), F.col("event_type") != "error")
     return got.select("event_id", F.col("sequence_number").alias("line_number"))
 
 
+_SAMPLES = (
+    "port 1/1/1 changed state from UP to DOWN", "OSPF adjacency was lost", "port scan detected from 10.1.1.1", "temperature over threshold", "link 3 flap seen", "interface changed state to down",
+    "authentication failure for x", "ACL error in rule 2", "session 4 reset by peer", "disk write latency 90ms", "login failed for y", "Drop DHCP offer", "MAC aa:bb:cc:dd:ee:ff blocked", "cpu utilization exceeds 90%",
+    "memory usage at 91%", "packet drop rate high", "interface changed state to up", "adjacency with 10.0.0.1 established", "configuration saved", "login successful", "vlan 7 added", "nothing to see", "a warning in words", "Fatal err here",
+)
+_LEVELS = " ".join(f"WHEN regexp_matches(text, '(?i){p}') THEN '{level}'" for p, level in SEVERITY_PATTERNS)
+_WORD = "upper(regexp_extract(text, '(?i)\\b(CRITICAL|CRIT|ERROR|ERR|WARNING|WARN|NOTICE|DEBUG|INFO)\\b', 1))"
+
+
+@query(f"""SELECT event_id, CASE {_LEVELS} WHEN {_WORD} IN ('CRITICAL', 'CRIT') THEN 'CRITICAL' WHEN {_WORD} IN ('ERROR', 'ERR') THEN 'ERROR' WHEN {_WORD} IN ('WARNING', 'WARN') THEN 'WARN' ELSE 'INFO' END AS severity
+    FROM (SELECT event_id, [{', '.join(f"'{x}'" for x in _SAMPLES)}][CAST(event_id % {len(_SAMPLES)} AS INT) + 1] AS text FROM events)""")
+def severity_patterns(spark, d):
+    """Every pattern and word, one message of each in turn over all events."""
+    text = F.element_at(F.array(*[F.lit(x) for x in _SAMPLES]), (F.col("event_id") % len(_SAMPLES) + 1).cast("int"))
+    rows = table(spark, d, "events").select("event_id", text.alias("text"))
+    return rows.select("event_id", X.severity_of(F.col("text"), F.lit(None).cast("string")).alias("severity"))
+
+
+_COUNTERS = ("INTERFACE_BANDWIDTH_THRESHOLD", "INTERFACE_CRC_ERROR_EXCEED", "INTERFACE_OUT_DROP_EXCEED", "interface_x_threshold", "INTERFACE_ERROR", "OSPF_UP")
+
+
+@query(f"SELECT event_id, regexp_matches(t, '(?i){'|'.join(COUNTER_PATTERNS)}') AS counter FROM (SELECT event_id, [{', '.join(f"'{x}'" for x in _COUNTERS)}][CAST(event_id % {len(_COUNTERS)} AS INT) + 1] AS t FROM events)")
+def counter_patterns(spark, d):
+    name = F.element_at(F.array(*[F.lit(x) for x in _COUNTERS]), (F.col("event_id") % len(_COUNTERS) + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", X.is_counter(name).alias("counter"))
+
+
 @query("SELECT DISTINCT 'X_' || upper(event_type) AS template_id FROM events WHERE event_type = 'error'")
 def counter_hints(spark, d):
     return features.unmatched_hints(log_rows(spark, d).select(F.concat(F.lit("X_"), F.upper("template_id")).alias("template_id")))
 
 
-@query()
+_LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+_D = X.draw_sql
+
+
+@query(f"""SELECT id, '<134>' || strftime(t, '%b %d %H:%M:%S') || ' sw-' || lpad(CAST(h AS VARCHAR), 2, '0') || ' ' || CASE WHEN odd THEN {_LIST(logs.ODD)}[CAST(floor(d3 * {len(logs.ODD)}) AS INT) + 1] ELSE {_LIST(logs.NORMAL)}[CAST(floor(d4 * {len(logs.NORMAL)}) AS INT) + 1] END AS value, odd AS is_anomaly
+    FROM (SELECT id, id % 13 AS h, d2 < 0.15 AS odd, d3, d4, TIMESTAMP '2024-03-01' + to_seconds(CAST(floor(sum(-ln(d1) / 0.3) OVER (PARTITION BY id % 13 ORDER BY id)) AS BIGINT)) AS t
+    FROM (SELECT i AS id, {_D('i', 1)} AS d1, {_D('i', 2)} AS d2, {_D('i', 3)} AS d3, {_D('i', 4)} AS d4 FROM range(2600) r(i)))""")
 def synthetic_lines(spark, d):
-    return logs.parsed_lines(logs.synthetic_lines(spark), year=YEAR).select("id", "host", "service", "log_level", "message")
+    return logs.synthetic_lines(spark)
 
 
-@query("SELECT i AS log_id, 'INC-' || lpad(CAST(i // 25 AS VARCHAR), 4, '0') AS incident_id FROM range(1000) t(i)")
+@query(f"""SELECT i AS log_id, round(f, 6) AS final_score, CASE WHEN f <= 0.2 THEN 'ignore' WHEN f <= 0.5 THEN 'low' WHEN f <= 0.75 THEN 'medium' ELSE 'critical' END AS label, 'INC-' || lpad(CAST(i // 25 AS VARCHAR), 4, '0') AS incident_id
+    FROM (SELECT i, 0.4 * {_D('i', 1)} + 0.35 * {_D('i', 2)} + 0.25 * {_D('i', 3)} AS f FROM range(1000) t(i))""")
 def benchmark_incidents(spark, d):
-    return logs.benchmark_score(logs.benchmark_rows(spark, 1000)).select("log_id", "incident_id")
+    return logs.benchmark_score(logs.benchmark_rows(spark, 1000)).select("log_id", R("final_score").alias("final_score"), "label", "incident_id")
 
 
-@query()
+@query(f"""SELECT i + 1 AS sequence_number, 's' || CAST(i // 30 AS VARCHAR) AS session_id, round(CASE WHEN i >= 270 THEN 0.95 + a / 20 ELSE a / 2 END, 6) AS frequency_score, round(CASE WHEN i >= 270 THEN 8 + b ELSE b END, 6) AS burstiness_score,
+    round(CASE WHEN i >= 270 THEN 4 + c ELSE c - 0.5 END, 6) AS zscore_base, i >= 270 AS forced FROM (SELECT i, round({_D('i', 1)}, 3) AS a, round({_D('i', 2)}, 3) AS b, round({_D('i', 3)}, 3) AS c FROM range(300) t(i))""")
 def feature_scenario(spark, d):
-    return logs.feature_scenario(spark)
+    return logs.feature_scenario(spark).withColumns({c: R(c) for c in ("frequency_score", "burstiness_score", "zscore_base")})
 
 
 # --- graph ------------------------------------------------------------------
@@ -374,7 +412,16 @@ def pagerank(spark, d):
     return graph.node_scores(nodes, links).select("template_id", R("pagerank", 5).alias("pagerank"))
 
 
-@query()
+#: Betweenness by all simple paths; fit for the few templates of the event table.
+_BETWEEN = """und AS (SELECT a AS x, b AS y, weight FROM edges UNION ALL SELECT b, a, weight FROM edges),
+    path AS (SELECT x AS s, y AS t, weight AS len, [x, y] AS p FROM und UNION ALL SELECT path.s, und.y, path.len + und.weight, list_append(path.p, und.y) FROM path JOIN und ON und.x = path.t WHERE NOT list_contains(path.p, und.y)),
+    short AS (SELECT * FROM path QUALIFY len <= min(len) OVER (PARTITION BY s, t) + 1e-12), ways AS (SELECT s, t, count(*) AS n FROM short GROUP BY 1, 2),
+    via AS (SELECT s, t, unnest(p[2:-2]) AS v FROM short), part AS (SELECT v, sum(1 / n) AS x FROM via JOIN ways USING (s, t) GROUP BY 1),
+    raw AS (SELECT template_id, coalesce(x, 0) / greatest(1, (count(*) OVER () - 1) * (count(*) OVER () - 2)) AS x FROM nodes LEFT JOIN part ON v = template_id),
+    bt AS (SELECT template_id, CASE WHEN max(x) OVER () - min(x) OVER () < 1e-15 THEN 0.5 ELSE x END AS betweenness FROM raw)"""
+
+
+@query(f"WITH {_BETWEEN} SELECT template_id, round(betweenness, 6) AS betweenness FROM bt")
 def betweenness(spark, d):
     _, nodes, links = _graph(spark, d)
     return graph.node_scores(nodes, links).select("template_id", R("betweenness").alias("betweenness"))
@@ -398,10 +445,24 @@ def correlated_ids(spark, d):
     return graph.correlated_ids(rows, links).select("session_id", "template_id", F.array_join("correlated_log_ids", ",").alias("ids"))
 
 
-@query()
+_RANK = """o AS (SELECT x, sum(weight) AS total FROM und GROUP BY 1),
+    step AS (SELECT 0 AS i, map_from_entries(list((template_id, 1.0::DOUBLE / c))) AS p FROM nodes, (SELECT count(*) AS c FROM nodes) GROUP BY i
+      UNION ALL SELECT i + 1, (SELECT map_from_entries(list((n.template_id, 0.15 / c.c + 0.85 * coalesce(t.v, 0)))) FROM nodes n CROSS JOIN (SELECT count(*) AS c FROM nodes) c
+        LEFT JOIN (SELECT y, sum(p[und.x] * weight / total) AS v FROM und JOIN o ON o.x = und.x GROUP BY y) t ON t.y = n.template_id) FROM step WHERE i < 100),
+    last AS (SELECT unnest(map_keys(p)) AS template_id, unnest(map_values(p)) AS r FROM step WHERE i = 100),
+    pr AS (SELECT template_id, (r - min(r) OVER ()) / (max(r) OVER () - min(r) OVER ()) AS pagerank FROM last),
+    walk AS (SELECT template_id AS node, template_id AS root FROM nodes UNION SELECT und.y, w.root FROM walk w JOIN und ON und.x = w.node), r AS (SELECT node, min(root) AS root FROM walk GROUP BY 1),
+    cn AS (SELECT node AS template_id, 'C' || lpad(CAST(dense_rank() OVER (ORDER BY -n, root) - 1 AS VARCHAR), 4, '0') AS component FROM (SELECT node, root, count(*) OVER (PARTITION BY root) AS n FROM r)),
+    ids AS (SELECT h.session_id, h.template_id, string_agg(CAST(s.sequence_number AS VARCHAR), ',' ORDER BY s.sequence_number) AS ids FROM (SELECT DISTINCT session_id, template_id FROM s) h
+      JOIN und ON und.x = h.template_id JOIN s ON s.session_id = h.session_id AND s.template_id = und.y GROUP BY 1, 2),
+    seq AS (SELECT DISTINCT unnest([i1, i2, i3]) AS sequence_number FROM grams WHERE gram IN (SELECT gram FROM kept))"""
+
+
+@query(f"""WITH {_BETWEEN}, {_RANK} SELECT s.sequence_number, round(pagerank, 5) AS centrality_score, (SELECT count(*) FROM und WHERE und.x = s.template_id) AS degree, round(betweenness, 6) AS betweenness, TRUE AS in_graph, component AS cluster_id,
+    seq.sequence_number IS NOT NULL AS in_sequence, md5(coalesce(ids.ids, '')) AS correlated_log_ids FROM s JOIN pr USING (template_id) JOIN bt USING (template_id) JOIN cn USING (template_id) LEFT JOIN seq USING (sequence_number) LEFT JOIN ids USING (session_id, template_id)""")
 def graph_scores(spark, d):
     out = graph.graph_scores(session_rows(spark, d), WIDE, WIDE)
-    return out.withColumn("correlated_log_ids", F.size("correlated_log_ids"))
+    return out.withColumns({"centrality_score": R("centrality_score", 5), "betweenness": R("betweenness"), "correlated_log_ids": F.md5(F.array_join("correlated_log_ids", ","))})
 
 
 @query("SELECT (SELECT count(*) FROM nodes) AS node_count, (SELECT count(*) FROM edges) AS edge_count")
@@ -441,6 +502,36 @@ def detect(spark, d):
     return anomaly.detect(features.build_features(session_table(spark, d), counter=F.col("template_id") == "error"))
 
 
+#: A small forest: a row is cut by how common its template is, then by the gap before it; or by its z-score.
+SMALL_FOREST = anomaly.Forest(
+    anomaly.FEATURES, [[0, -1, 3, -1, -1], [2, -1, -1]], [[0.5, 0.0, 600.0, 0.0, 0.0], [0.0, 0.0, 0.0]], [[1, -1, 3, -1, -1], [1, -1, -1]], [[2, -1, 4, -1, -1], [2, -1, -1]],
+    [[0.0, 2.5, 0.0, 4.0, 3.0], [0.0, 5.0, 4.5]], 256, 400,
+)
+
+
+@query("""SELECT sequence_number, round(iso, 6) AS isolation_score, round((z + 5) / 10, 6) AS zscore_norm, round(c, 6) AS combined_score, c > avg(c) OVER () + 2 * stddev_pop(c) OVER () AS is_anomaly, CAST(0.8 AS DOUBLE) AS model_confidence FROM (
+    SELECT *, least(1, greatest(0, 0.8 * (0.7 * iso + 0.3 * (z + 5) / 10) + 0.2 * (z + 5) / 10)) AS c FROM (
+    SELECT *, (raw - min(raw) OVER ()) / (max(raw) OVER () - min(raw) OVER ()) AS iso FROM (
+    SELECT sequence_number, z, pow(2, -((CASE WHEN fs < 0.5 THEN 2.5 WHEN gap < 600 THEN 4.0 ELSE 3.0 END + CASE WHEN z < 0 THEN 5.0 ELSE 4.5 END) / 2) / (2 * (ln(255) + 0.5772156649015329) - 2 * 255 / 256)) AS raw FROM (
+    SELECT deltas.sequence_number, z, coalesce(gap, 0) AS gap, frequency / max(frequency) OVER (PARTITION BY session_id) AS fs FROM deltas JOIN zroll USING (host, session_id, template_id)))))""")
+def detect_fixed(spark, d):
+    """The detection stage with a given model."""
+    out = anomaly.detect(features.build_features(session_table(spark, d), counter=F.col("template_id") == "error"), SMALL_FOREST)
+    return out.withColumns({c: R(c) for c in ("isolation_score", "zscore_norm", "combined_score")})
+
+
+@query()
+def model_lifecycle(spark, d):
+    """Train, save, load the newest, score, and the retraining that is due: what the store says and whether both scorings agree."""
+    rows = staged(features.build_features(session_table(spark, d), counter=F.col("template_id") == "error"), "features")
+    store = ModelStore(spark, shared_path(spark, "models"))
+    store.retrain(rows, "20240101_000000")
+    one = store.detect(rows, time="20240102_000000")
+    two = anomaly.detect(rows, store.load("20240101_000000"))
+    same = one.join(two.select("sequence_number", F.col("combined_score").alias("again")), "sequence_number")
+    return same.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("combined_score") == F.col("again")).cast("long")).alias("equal"), F.lit(len(store.versions())).alias("versions"))
+
+
 @query("SELECT sequence_number, combined_score FROM sc ORDER BY combined_score DESC, sequence_number LIMIT 10")
 def top_anomalies(spark, d):
     return anomaly.top_anomalies(scored_rows(spark, d)).select("sequence_number", "combined_score")
@@ -530,16 +621,27 @@ def top_anomalous_templates(spark, d):
 
 @query("""SELECT tp, fp, fn, tn, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision, round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall, round(CASE WHEN tp > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1,
     round(CASE WHEN tp + fn > 0 THEN fn / (tp + fn) ELSE 0 END, 6) AS false_negative_rate, round(CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END, 6) AS noise_suppression FROM (
-    SELECT count(*) FILTER (toxic = 1 AND quality = 1) AS tp, count(*) FILTER (toxic = 0 AND quality = 1) AS fp, count(*) FILTER (toxic = 1 AND quality = 0) AS fn, count(*) FILTER (toxic = 0 AND quality = 0) AS tn FROM labels)""")
+    SELECT count(*) FILTER (t AND p) AS tp, count(*) FILTER (NOT t AND p) AS fp, count(*) FILTER (t AND NOT p) AS fn, count(*) FILTER (NOT t AND NOT p) AS tn
+    FROM (SELECT n_chars > 1000 AS p, coalesce(toxic = 1, FALSE) AS t FROM documents LEFT JOIN labels USING (doc_id)))""")
 def confusion_metrics(spark, d):
-    lab = table(spark, d, "labels")
+    """Long documents against toxic labels, which only some documents have."""
     out = evaluation.confusion(
-        lab.select(F.col("doc_id").alias("sequence_number"), (F.col("quality") == 1).alias("is_anomaly")),
-        lab.select(F.col("doc_id").alias("sequence_number"), F.when(F.col("toxic") == 1, "anomaly").otherwise("normal").alias("true_label")),
+        table(spark, d, "documents").select(F.col("doc_id").alias("sequence_number"), (F.col("n_chars") > 1000).alias("is_anomaly")),
+        table(spark, d, "labels").select(F.col("doc_id").alias("sequence_number"), F.when(F.col("toxic") == 1, "anomaly").otherwise("normal").alias("true_label")),
     )
     return out.select(*[R(c).alias(c) if t == "double" else c for c, t in out.dtypes])
 
 
+@query("""SELECT round(avg(CAST(is_anomaly AS DOUBLE)), 6) AS anomaly_rate, count(*) AS count, round(avg(combined_score), 6) AS mean, round(max(combined_score), 6) AS max,
+    (SELECT string_agg(template_id, ',' ORDER BY m DESC, template_id DESC) FROM (SELECT template_id, avg(combined_score) AS m FROM sc GROUP BY 1)) AS templates,
+    count(*) FILTER (is_anomaly AND log_level = 'ERROR') AS tp, count(*) FILTER (is_anomaly AND log_level <> 'ERROR') AS fp FROM sc""")
+def evaluation_entry(spark, d):
+    rows = staged(scored_rows(spark, d).withColumn("model_confidence", F.lit(1.0)), "scored")
+    truth = rows.select("sequence_number", F.when(F.col("log_level") == "ERROR", "anomaly").otherwise("normal").alias("true_label"))
+    out = evaluation.evaluate(rows.drop("template_id"), rows, truth)
+    return out.select(R("anomaly_rate").alias("anomaly_rate"), "count", R("mean").alias("mean"), R("max").alias("max"), F.array_join("top_anomalous_templates", ",").alias("templates"), "tp", "fp")
+
+
 @query("""SELECT total, critical_total, round(ignored / total, 6) AS ignored_ratio, round(miss / critical_total, 6) AS critical_miss_rate, round(tp / (tp + fp), 6) AS precision, round(tp / critical_total, 6) AS recall, round(2 * tp / (tp + fp + critical_total), 6) AS f1 FROM (
     SELECT count(*) AS total, count(*) FILTER (label = 'ignore') AS ignored, count(*) FILTER (log_level = 'ERROR') AS critical_total, count(*) FILTER (log_level = 'ERROR' AND combined_score < 0.5) AS miss,
     count(*) FILTER (log_level = 'ERROR' AND combined_score >= 0.5) AS tp, count(*) FILTER (log_level <> 'ERROR' AND combined_score >= 0.5) AS fp FROM lab)""")
@@ -551,11 +653,23 @@ def metrics_report(spark, d):
 
 # --- storage and views ------------------------------------------------------
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""".replace("o_totalprice FROM", "CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS o_totalprice FROM"))
+@query("""SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderstatus <> 'P' OR o_totalprice > 100000""")
 def upsert_merge(spark, d):
+    """Stored orders take a new status from the dear ones; pending ones were not stored before."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    new = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"))
-    return sinks.upsert(orders.filter("o_orderkey % 3 <> 0"), new, ["o_orderkey"])
+    new = orders.filter("o_totalprice > 100000").select("o_orderkey", F.lit("X").alias("o_orderstatus"))
+    return sinks.upsert(orders.filter("o_orderstatus <> 'P'"), new, ["o_orderkey"])
+
+
+@query("""SELECT sequence_number, CAST(frequency AS INTEGER) AS frequency, host, CAST(NULL AS VARCHAR) AS event_type, 2 AS created, CASE WHEN log_level = 'ERROR' THEN 3 ELSE 2 END AS updated FROM s""")
+def stored_logs(spark, d):
+    """The typed table after two loads, the second of errors only."""
+    rows, folder = session_table(spark, d), shared_path(spark, "store")
+    sinks.store(spark, folder, "logs", rows, now=datetime(2024, 1, 2))
+    sinks.store(spark, folder, "logs", rows.filter("log_level = 'ERROR'"), now=datetime(2024, 1, 3))
+    got = spark.read.parquet(f"{folder}/logs")
+    return got.select("sequence_number", "frequency", "host", "event_type", F.dayofmonth("created_at").alias("created"), F.dayofmonth("updated_at").alias("updated"))
 
 
 @query("""SELECT 'log_' || CAST(sequence_number AS VARCHAR) AS log_id, sequence_number, host, coalesce(correlation_id, '') AS correlation_id, round(final_score, 6) AS final_score, is_anomaly FROM fin""")

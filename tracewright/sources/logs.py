@@ -146,24 +146,35 @@ def syslog_lines(events: DataFrame, hosts: int = 13) -> DataFrame:
     return events.select("event_id", "ts", line.alias("value"))
 
 
+#: Messages of the synthetic source: a service, then what it says.
+NORMAL = (
+    "OSPF: neighbor state changed to FULL", "OSPF: adjacency established with 10.0.0.2", "lldpd: neighbor added on port 1/1/5", "lldpd: neighbor refreshed on port 1/1/6",
+    "snmpd: poll completed in 12ms", "snmpd: walk of 40 objects done", "sshd[812]: login successful for admin", "sshd[813]: connection closed by 10.0.0.9",
+    "cfgd: configuration saved", "cfgd: checkpoint written", "eventmgr: port 1/1/2 changed state to up", "eventmgr: vlan 20 added", "kernel: fan speed set to 40%", "cron[77]: job rotate finished",
+)
+ODD = (
+    "eventmgr: Interface bandwidth threshold exceeded on 1/1/3", "eventmgr: port 1/1/9 changed state to down", "eventmgr: link flap on 1/1/4", "OSPF: adjacency lost with 10.0.0.7",
+    "sshd[814]: authentication failure for root", "kernel: temperature above threshold", "kernel: disk write latency 900ms", "snmpd: cpu utilization exceeds 95%", "eventmgr: packet drop rate high on 1/1/8", "cfgd: ACL error in rule 12",
+)
+
+
 def synthetic_lines(spark: SparkSession, hosts: int = 13, events: int = 200, seed: int = 42) -> DataFrame:
     """Seeded BSD syslog lines: exponential gaps of mean 1/0.3 s, 15 % anomaly patterns."""
-    draw = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "id"), F.lit(1_000_000)) + 0.5) / 1_000_000
+    draw = lambda turn: X.draw(F.col("id"), turn, seed)
     ids = spark.range(hosts * events).withColumns({"h": F.col("id") % hosts, "n": F.floor(F.col("id") / hosts)})
     gaps = ids.withColumn("gap", -F.log(draw(1)) / 0.3)
     at = F.sum("gap").over(Window.partitionBy("h").orderBy("n"))
-    normal = ["OSPF: neighbor state changed to FULL", "lldpd: neighbor added on port 1/1/5", "snmpd: poll completed in 12ms", "sshd[812]: login successful for admin"]
-    odd = ["eventmgr: Interface bandwidth threshold exceeded on 1/1/3", "OSPF: adjacency lost with 10.0.0.7", "eventmgr: port 1/1/9 changed state to down"]
-    pick = lambda xs, k: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.floor(draw(k) * len(xs)) + 1).cast("int"))
+    pick = lambda xs, turn: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.floor(draw(turn) * len(xs)) + 1).cast("int"))
     when = F.timestamp_add("SECOND", F.floor(at).cast("long"), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
-    staged = gaps.select("id", "h", "n", when.alias("t"), F.when(draw(2) < 0.15, pick(odd, 3)).otherwise(pick(normal, 4)).alias("m"), (draw(2) < 0.15).alias("is_anomaly"))
-    return staged.select("id", F.concat(F.lit("<134>"), F.date_format("t", "MMM dd HH:mm:ss"), F.lit(" sw-"), F.lpad("h", 2, "0"), F.lit(" "), "m").alias("value"), "is_anomaly")
+    made = gaps.select("id", "h", "n", when.alias("t"), (draw(2) < 0.15).alias("is_anomaly"), pick(ODD, 3).alias("odd"), pick(NORMAL, 4).alias("plain"))
+    text = F.when(F.col("is_anomaly"), F.col("odd")).otherwise(F.col("plain"))
+    return made.select("id", F.concat(F.lit("<134>"), F.date_format("t", "MMM dd HH:mm:ss"), F.lit(" sw-"), F.lpad("h", 2, "0"), F.lit(" "), text).alias("value"), "is_anomaly")
 
 
 def feature_scenario(spark: SparkSession, rows: int = 300, odd_from: int = 270) -> DataFrame:
     """Feature rows of which the last ones are forced to be anomalous."""
     odd = F.col("id") >= odd_from
-    noise = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000
+    noise = lambda turn: F.round(X.draw(F.col("id"), turn), 3)
     return spark.range(rows).select(
         (F.col("id") + 1).alias("sequence_number"),
         F.concat(F.lit("s"), F.floor(F.col("id") / 30).cast("string")).alias("session_id"),
@@ -176,7 +187,7 @@ def feature_scenario(spark: SparkSession, rows: int = 300, odd_from: int = 270)
 
 def benchmark_rows(spark: SparkSession, n: int) -> DataFrame:
     """n rows a second apart with pseudo-random component scores."""
-    draw = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1_000_000)) / 1_000_000
+    draw = lambda turn: X.draw(F.col("id"), turn)
     at = F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     return spark.range(n).select(F.col("id").alias("log_id"), at.alias("timestamp"), draw(1).alias("anomaly_score"), draw(2).alias("centrality_score"), draw(3).alias("temporal_score"))
 
