@@ -40,7 +40,7 @@ from .simhash import CHUNK_ROWS, GrayIndex
 
 WORDS, SIMILARITY, RADIUS = 5, 0.8, 6
 #: Bits of a bucket of the shingle counts and of a shard of them, bits of a text's bitmap.
-COUNT_BITS, SHARD_BITS, MAP_BITS = 21, 14, 2048
+COUNT_BITS, SHARD_BITS, MAP_BITS, FOLD_BITS = 23, 16, 2048, 512
 #: Rows of a shingle that meet at once; pairs a row beyond which a shingle is taken in rounds; neighbours compared then.
 HOT_ROWS, OPEN_PAIRS, NEIGHBOURS = 4_000, 64, 4
 
@@ -136,7 +136,7 @@ def _candidates(codes: DataFrame, radius: int, tables: list[list[tuple[int, int]
                     vs.append(ids[j])
                     ds.append(np.bitwise_count(code[i] ^ code[j]).astype(np.int64))
                     size += len(i)
-                    if size > 2_000_000:  # a forest of the forests so far keeps memory bounded
+                    if size > 500_000:  # a forest of the forests so far keeps memory bounded
                         u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
                         f = forest(u, v, d)
                         us, vs, ds, size = [u[f]], [v[f]], [d[f]], len(f)
@@ -183,14 +183,17 @@ def _bucket(names: np.ndarray) -> np.ndarray:
 
 
 def _counts(rows: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of all texts fall into each bucket: at least the texts that have a shingle of it."""
+    """About how many shingles of all texts fall into each bucket; a task counts up to 255.
+
+    Any common order of shingles will do; a good one has the rare ones first.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+        total = np.zeros(1 << COUNT_BITS, np.uint32)
         for b in batches:
             for _, _, raw, offs in slices_of(b.column(1)):
-                np.add.at(total, _bucket(shingle_sets(raw, offs, words)[0]), 1)
-        for i, part in enumerate(total.astype(np.uint32).reshape(-1, 1 << SHARD_BITS)):  # a task has fewer shingles than 2**32
+                np.add.at(total, _bucket(shingle_sets(raw, offs, words)[0]), np.uint32(1))
+        for i, part in enumerate(np.minimum(total, 255).astype(np.uint8).reshape(-1, 1 << SHARD_BITS)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["shard", "n"])
 
@@ -198,15 +201,15 @@ def _counts(rows: DataFrame, words: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums[i] = sums.get(i, np.int64(0)) + np.frombuffer(x, np.uint32)
+                sums[i] = sums.get(i, np.uint32(0)) + np.frombuffer(x, np.uint8)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.int64).tobytes() for x in sums.values()], pa.binary())], ["shard", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(x, 65_535).astype(np.uint16).tobytes() for x in sums.values()], pa.binary())], ["shard", "n"])
 
-    out = np.zeros((1 << (COUNT_BITS - SHARD_BITS), 1 << SHARD_BITS), np.int64)
+    out = np.zeros((1 << (COUNT_BITS - SHARD_BITS), 1 << SHARD_BITS), np.uint16)
     kind = "shard int, n binary"
-    for r in rows.mapInArrow(count, kind).repartition("shard").mapInArrow(add, kind).collect():  # a fixed size
-        out[r["shard"]] = np.frombuffer(r["n"], np.int64)
-    return np.minimum(out.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
+    for r in rows.mapInArrow(count, kind).repartition("shard").mapInArrow(add, kind).toLocalIterator():  # a fixed size
+        out[r["shard"]] = np.frombuffer(r["n"], np.uint16)
+    return out.ravel()
 
 
 def prefix(names: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
@@ -220,10 +223,21 @@ def bitmap(names: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount((names & np.uint64(MAP_BITS - 1)).astype(np.int64), minlength=MAP_BITS) & 1).astype(np.uint8))
 
 
-def bucket_pairs(k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(u, v, whole): pairs of rows with equal k and different comp that may be similar; not whole if some were put off."""
+def fold(names: np.ndarray) -> bytes:
+    """The bitmap in fewer bits: parities of parities, so the bound on differing bits stays."""
+    return np.bitwise_xor.reduce(bitmap(names).reshape(-1, FOLD_BITS // 8), axis=0).tobytes()
+
+
+def bucket_pairs(
+    k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float, maps: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(u, v, whole): pairs of rows with equal k and different comp that may be similar; not whole if some were put off.
+
+    ``maps`` are folded bitmaps, a row of words each.
+    """
     order = np.lexsort((ids, size, comp, k))
     k, comp, ids, size, pos = (x[order] for x in (k, comp, ids, size, pos))
+    maps = maps[order] if maps is not None else None
     new = np.concatenate(([True], k[1:] != k[:-1]))
     g = np.cumsum(new) - 1
     first = new | np.concatenate(([True], comp[1:] != comp[:-1]))  # of its group in the bucket
@@ -244,18 +258,24 @@ def bucket_pairs(k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndar
             live, a, b = live[on], a[on], b[on]
             need = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9
             ok = (comp[a] != comp[b]) & (1 + np.minimum(size[a] - pos[a] - 1, size[b] - pos[b] - 1) >= need)
-            yield np.minimum(ids[a[ok]], ids[b[ok]]), np.maximum(ids[a[ok]], ids[b[ok]]), True
+            a, b = a[ok], b[ok]
+            if maps is not None and len(a):
+                far = np.bitwise_count(maps[a] ^ maps[b]).sum(1, dtype=np.int64)
+                near = far <= (1 - similarity) / (1 + similarity) * (size[a] + size[b]) + 1e-9
+                a, b = a[near], b[near]
+            yield np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), True
             d += 1
     if wide.any():
         yield ids[:0], ids[:0], False
 
 
 def _buckets(packed: DataFrame) -> DataFrame:
-    """(k, id, at, first, before): the rows of first shingles that several texts have.
+    """(k, id, at, first, before, turn): the rows of first shingles that several texts have.
 
     ``at`` is the size of the text's set, then the shingle's place in it; ``first``
-    and ``before`` are the bucket's first text and the one before this in size.  Rows
-    come sorted, so a bucket of any size passes through in batches.
+    and ``before`` are the bucket's first text and the one before this in size, and
+    ``turn`` is the row's number in the bucket, from 0.  Rows come sorted, so a bucket
+    of any size passes through in batches.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,17 +292,19 @@ def _buckets(packed: DataFrame) -> DataFrame:
         held: tuple | None = None  # the last row so far, of which it is not known yet whether another of its bucket follows
 
         def marked(k, i, at):
-            """First text of each row's bucket, the text before the row, whether there is one, whether the bucket has several."""
+            """First text of each row's bucket, the text before the row, the row's number, whether there is one before, whether the bucket has several."""
             same = k[1:] == k[:-1]
             later = np.concatenate(([False], same))
             head = np.maximum.accumulate(np.where(later, 0, np.arange(len(k))))
-            first, before = i[head], np.concatenate((i[:1], i[:-1]))
+            first, before, turn = i[head], np.concatenate((i[:1], i[:-1])), np.arange(len(k)) - head
             if held is not None:  # row 0 is the one that was held back
-                first[head == 0], before[0], later[0] = held[3:]
-            return first, before, later, later | np.concatenate((same, [False]))
+                turn[head == 0] += held[5]
+                first[head == 0], before[0], later[0] = held[3], held[4], held[6]
+            return first, before, turn, later, later | np.concatenate((same, [False]))
 
-        def batch(k, i, at, first, before, later, several):
-            return pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (k, i, at, first)] + [pa.array(before[several], mask=~later[several])], ["k", "id", "at", "first", "before"])
+        def batch(k, i, at, first, before, turn, later, several):
+            made = [pa.array(x[several]) for x in (k, i, at, first)] + [pa.array(before[several], mask=~later[several]), pa.array(turn[several])]
+            return pa.RecordBatch.from_arrays(made, ["k", "id", "at", "first", "before", "turn"])
 
         for b in batches:
             if not len(b):
@@ -292,27 +314,27 @@ def _buckets(packed: DataFrame) -> DataFrame:
                 cols = tuple(np.concatenate(([x], y)) for x, y in zip(held[:3], cols, strict=True))
             cols = (*cols, *marked(*cols))
             yield batch(*(x[:-1] for x in cols))
-            held = tuple(x[-1] for x in cols[:6])
-        if held is not None and held[5]:
+            held = tuple(x[-1] for x in cols[:7])
+        if held is not None and held[6]:
             yield batch(*(np.array([x]) for x in (*held, True)))
 
     rows = packed.select("id", "size", "names").mapInArrow(spread, "k long, id long, at long")
-    return rows.repartition("k").sortWithinPartitions("k", "at", "id").mapInArrow(search, "k long, id long, at long, first long, before long")
+    return rows.repartition("k").sortWithinPartitions("k", "at", "id").mapInArrow(search, "k long, id long, at long, first long, before long, turn long")
 
 
-def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, similarity: float, limit: float) -> DataFrame:
-    """(u, v) of ``bucket_pairs`` over all buckets; a row of nulls if pairs were put off."""
+def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFrame, similarity: float, limit: float) -> DataFrame:
+    """(u, v) of ``bucket_pairs`` over the buckets of several groups; a row of nulls if pairs were put off."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def run(held):
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
             us, vs, at, put_off = [], [], 0, False
-            for u, v, whole in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit):
+            for u, v, whole in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit, cols[4]):
                 us.append(u)
                 vs.append(v)
                 at += len(u)
                 put_off |= not whole
-                if at > 2_000_000:
+                if at > 500_000:
                     yield unique(us, vs)
                     us, vs, at = [], [], 0
             if at:
@@ -328,7 +350,7 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, similarity: floa
         for b in batches:
             if not len(b):
                 continue
-            cols = tuple(b.column(i).to_numpy() for i in range(4))
+            cols = (*(b.column(i).to_numpy() for i in range(4)), np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(len(b), -1))
             if rows >= CHUNK_ROWS:  # the held rows end where a bucket ends
                 inside = cols[0] != held[-1][0][-1]
                 cut = int(np.argmax(inside)) if inside.any() else len(inside)
@@ -345,10 +367,12 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, similarity: floa
             yield from run(held)
 
     rows = buckets.select("k", "id", "at").join(comps, "id").select("k", "comp", "id", "at")
+    several = rows.groupBy("k").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("k")
+    rows = materialize(rows.join(several, "k", "left_semi"), "open").join(packed.select("id", "fold"), "id").select("k", "comp", "id", "at", "fold")
     # Each two blocks of a bucket of very many rows meet in a bucket of their own.
     mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.xxhash64("k", F.least(mine, c), F.greatest(mine, c)))
-    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at")
+    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at", "fold")
     rows = rows.join(hot, "k", "left_anti").union(split)
     return rows.repartition("k").sortWithinPartitions("k").mapInArrow(search, "u long, v long").distinct()
 
@@ -380,13 +404,16 @@ def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int
                 flat, n = shingle_sets(raw, offs, words)
                 ends = offsets(n)
                 sets = [flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                names, maps = [prefix(x, counts, similarity).tobytes() for x in sets], [bitmap(x).tobytes() for x in sets]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int32)), pa.array(names, pa.binary()), pa.array(maps, pa.binary())], ["id", "size", "names", "map"])
+                names, maps, folds = [prefix(x, counts, similarity).tobytes() for x in sets], [bitmap(x).tobytes() for x in sets], [fold(x) for x in sets]
+                made = [pa.array(n.astype(np.int32)), *(pa.array(x, pa.binary()) for x in (names, maps, folds))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *made], ["id", "size", "names", "map", "fold"])
 
-    packed = rows.mapInArrow(pack, "id long, size int, names binary, map binary").filter("size > 0")
+    packed = rows.mapInArrow(pack, "id long, size int, names binary, map binary, fold binary").filter("size > 0")
     packed = materialize(packed.join(owners.select("id"), "id", "left_semi").dropDuplicates(["id"]), "prefixes")
     buckets = materialize(_buckets(packed), "buckets")
-    hot = buckets.groupBy("k").count().filter(F.col("count") > HOT_ROWS)
+    # In a bucket of three all pairs meet at first; larger ones are met again.
+    large = materialize(buckets.join(buckets.filter("turn = 3").select("k"), "k", "left_semi").select("k", "id", "at"), "large")
+    hot = large.groupBy("k").count().filter(F.col("count") > HOT_ROWS)
     hot = materialize(hot.select("k", F.ceil(F.col("count") / HOT_ROWS).cast("long").alias("blocks")), "hot")
     tried, limit, whole = None, OPEN_PAIRS, False
     while True:
@@ -398,7 +425,7 @@ def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int
             met = near.join(comps.withColumnsRenamed({"id": "u", "comp": "cu"}), "u").join(comps.withColumnsRenamed({"id": "v", "comp": "cv"}), "v").filter("cu <> cv").select("u", "v")
             met = materialize(met, "met")
         else:
-            met = materialize(_meet(buckets, hot, comps, similarity, limit).join(tried, ["u", "v"], "left_anti"), "met")
+            met = materialize(_meet(large, hot, comps, packed, similarity, limit).join(tried, ["u", "v"], "left_anti"), "met")
             whole = met.filter("u is null").isEmpty()
         asked = met.filter("u is not null")
         pairs = materialize(_possible(asked, packed, similarity), "pairs")
@@ -406,8 +433,8 @@ def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int
         links = links.union(more)
         if whole:
             return links
-        if tried is not None and more.isEmpty():
-            limit = float("inf")  # nothing joins any more: decide all
+        if tried is not None:  # where little joins any more, decide all
+            limit = float("inf") if more.isEmpty() else 16 * limit
         tried = asked if tried is None else tried.union(asked)
 
 

@@ -24,7 +24,7 @@ from .common import join_hot, materialize, text_buffer
 from .components import connected_components, spanning
 
 #: Bits read per level of the index, rows indexed together, node pairs expanded together.
-LEVEL_BITS, CHUNK_ROWS, FRONTIER = 11, 150_000, 2_000_000
+LEVEL_BITS, CHUNK_ROWS, FRONTIER = 11, 150_000, 500_000
 
 _HASH = xxhash.xxh64_intdigest
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
