@@ -224,6 +224,15 @@ def test_near_texts_beyond_the_radius(spark, monkeypatch, hot):
     assert {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()} == want
 
 
+def test_near_texts_with_repeated_ids(spark):
+    rng = np.random.default_rng(41)
+    a, b = words(rng, 80, 5000), words(rng, 80, 5000)
+    low, high = sorted([a, b])
+    rows = [(5, low), (5, high), (5, high), (7, high + " more"), (8, low + " more"), (9, "x"), (9, "x")]
+    assert {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()} == {8}
+    assert sorted(r["doc_id"] for r in near_text.keep_one(docs(spark, rows)).collect()) == [5, 5, 5, 7, 9, 9]
+
+
 def test_near_texts_of_one_code(spark):
     """The smallest id of a code is unlike the others, of which two are alike."""
     rng = np.random.default_rng(24)
@@ -605,6 +614,64 @@ def test_classifiers_on_held_out_rows(spark, run, label, limit):
     assert sorted((repr(r["doc_id"]), r["score"]) for r in got) == sorted((repr(r["doc_id"]), r["score"]) for r in again)
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_toxicity_scores_against_brute_force(spark):
+    d, lab = labelled(spark)
+    model = toxicity.fit(d, lab)
+    terms, stems = model.scanner.automaton.terms, model.scanner.automaton.stems
+    assert terms or stems
+    texts = [*(r["text"] or "" for r in d.collect()), "You idiiot! said he", '"idiot" she wrote', "midiot " * 9, "x " * 20_000 + "moron"]
+    for t, score in zip(texts, model.score(texts).tolist(), strict=True):
+        words_, hits = t.lower().split(), []
+        for i, w in enumerate(words_):
+            c = toxicity.clean(w)
+            found = min(((len(x), x + "*", 0) for x in stems if c.startswith(x)), default=None)
+            found = found and found[1:] or min(((e, x) for x in terms if (e := edit_distance(c, x)) <= toxicity.edits_for(x)), default=None)
+            if found:
+                term, e = found if isinstance(found[0], str) else found[::-1]
+                near = {toxicity.clean(x) for x in words_[max(0, i - toxicity.WINDOW) : i + toxicity.WINDOW + 1]}
+                before = sum(x in toxicity.QUOTES for y in words_[:i] for x in y)
+                quoted = before % 2 == 1 or any(x in toxicity.QUOTES for x in w) or bool(near & toxicity.REPORTS)
+                hits.append((model.weight.get((term, e), model.base[e]), quoted, bool(near & toxicity.PERSONS)))
+        opened, quotes = [x for x, q, _ in hits if not q], [x for x, q, _ in hits if q]
+        x = [1, max(opened, default=0), np.log1p(sum(opened)), max(quotes, default=0), max((w for w, _, p in hits if p), default=0), (len(hits) / len(words_)) ** 0.5 if words_ else 0]
+        assert abs(score - 1 / (1 + np.exp(-np.clip(np.dot(x, model.beta), -40, 40)))) < 1e-9
+
+
+def test_quality_scores_against_brute_force(spark):
+    d, lab = labelled(spark)
+    model = quality.fit(d, lab)
+    texts = {r["doc_id"]: r["text"] or "" for r in d.collect()}
+    got = by_id(quality.score_quality(d, lab))
+    for i, t in texts.items():
+        w, total = t.split(), np.zeros(model.vectors.shape[1])
+        for x in w:
+            n = model.words.number.get(x)
+            total += model.vectors[model.words.number.get(quality.shape(x), 0) if n is None else n]
+        times = np.array(list(collections.Counter(w).values()), float)
+        f = np.concatenate([total / max(1, len(w)), [np.sqrt((times**2).sum()) / max(1, len(w)), np.log1p(len(w))]])
+        z = np.tanh((f - model.mean) / model.scale @ model.w1 + model.b1) @ model.w2 + model.b2
+        assert abs(got[i]["score"] - 1 / (1 + np.exp(-z / model.temperature))) < 1e-5
+
+
+@pytest.mark.parametrize("keep,run,good", [(quality.filter_quality, quality.score_quality, lambda s: s >= 0.3), (toxicity.filter_toxicity, toxicity.score_toxicity, lambda s: s < 0.5)])
+def test_filters_keep_odd_rows_whole(spark, keep, run, good):
+    d, lab = labelled(spark)
+    odd = d.unionByName(docs(spark, [(7, "idiot " * 50), (7, "idiot " * 50), (None, None), (None, ""), (8, "y " * 50_000)])).withColumns({"score": F.lit("clash"), "label": F.lit(1), "n": F.lit(2)})
+    scores = collections.Counter((r["doc_id"], good(r["score"])) for r in run(odd, lab).collect())
+    left = keep(odd, lab)
+    assert left.columns == odd.columns and collections.Counter(r["doc_id"] for r in left.collect()) == {i: n for (i, ok), n in scores.items() if ok}
+    assert keep(odd.limit(0), lab).count() == 0 and keep(odd, lab.limit(0)).count() == odd.count()
+
+
 @pytest.mark.parametrize("run,label", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
 def test_classifiers_without_labels_or_rows(spark, run, label):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -459,7 +459,8 @@ def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMIL
     Groups are components of pairs with Jaccard similarity of at least
     ``similarity`` between their sets of ``words``-word shingles (a shorter text is
     one shingle); equal word sequences always group.  Texts without words group
-    with nothing.  Rows with a null id are never named.
+    with nothing.  Rows with a null id are never named.  Of different texts under
+    one id the least counts.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).filter("id is not null")
 
@@ -473,7 +474,15 @@ def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMIL
                 arrays[1] = pa.array(high.view(np.int64), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *arrays], ["id", "code", "high", "low"])
 
-    sketches = materialize(rows.mapInArrow(sketch, "id long, code long, high long, low long").filter("high is not null"), "sketches")
+    def sketched(rows: DataFrame) -> DataFrame:
+        return materialize(rows.mapInArrow(sketch, "id long, code long, high long, low long").filter("high is not null"), "sketches")
+
+    sketches = sketched(rows)
+    odd = sketches.groupBy("id").agg(F.min("high").alias("a"), F.max("high").alias("z")).filter("a < z").select("id")
+    if not odd.isEmpty():
+        odd = materialize(odd, "odd")
+        rows = materialize(rows.join(odd, "id", "left_anti").unionByName(rows.join(odd, "id").groupBy("id").agg(F.min("text").alias("text"))), "rows")
+        sketches = sketched(rows)
     # Equal word sequences first: only the smallest id of each goes on.
     owners = sketches.groupBy("high", "low").agg(F.min("id").alias("id"), F.first("code").alias("code"))
     owners = materialize(owners, "owners")

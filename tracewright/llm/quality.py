@@ -233,7 +233,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sa
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` scored at least ``threshold``, with all their columns; all rows if nothing can be learned."""
+    """The rows of ``docs`` scored at least ``threshold``, with all their columns; all rows if nothing can be learned.
+
+    Null and empty texts are scored as such, null ids and repeated rows are judged by
+    their text like any other row, columns of any name come through as they are, and
+    an empty table gives no row.
+    """
     model = fit(docs, labels, sample)
     if model is None:
         return docs

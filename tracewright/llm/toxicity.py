@@ -322,7 +322,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, s
 
 
 def filter_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` scored below ``threshold``, with all their columns; all rows if nothing can be learned."""
+    """The rows of ``docs`` scored below ``threshold``, with all their columns; all rows if nothing can be learned.
+
+    Null and empty texts have no hit, null ids and repeated rows are judged by their
+    text like any other row, columns of any name come through as they are, and an
+    empty table gives no row.
+    """
     model = fit(docs, labels, sample)
     if model is None:
         return docs
