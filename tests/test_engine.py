@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tracewright.config import Config
 from tracewright.functions import expr as X
+from tracewright.logger import get_logger
 from tracewright.operators import anomaly, baseline, evaluation, features, graph, scoring, sessions, templates
 from tracewright.operators.models import ModelStore
 from tracewright.plans import views
+from tracewright.plans.latency import run_benchmarks
 from tracewright.plans.pipeline import ORDER, Pipeline
 from tracewright.sources import logs, sinks
 from tracewright.streaming import stream
@@ -386,3 +388,17 @@ def test_summaries_presets_and_search_rows(spark):
     assert [views.recent(rows, h, last).count() for h in (1, 6)] == [2, 3]
     found = sinks.search_rows(spark.createDataFrame([(1, 0.5), (9, 0.1)], "sequence_number long, final_score double"), spark.createDataFrame([(1, "h", 0.9)], "sequence_number long, host string, final_score double"))
     assert sorted(map(tuple, found.collect())) == [(1, 0.5, "h"), (9, 0.1, None)]
+
+
+def test_latency_harness(spark):
+    got = run_benchmarks(spark)
+    assert [g["output_rows"] for g in got] == [1_000, 10_000] and all(g["rows_per_second"] > 0 for g in got)
+
+
+def test_logger(tmp_path, monkeypatch):
+    monkeypatch.setenv("LOG_LEVEL", "error")
+    path = tmp_path / "x.log"
+    for _ in range(2):
+        log = get_logger("tracewright.test", str(path))
+    log.debug("small thing")
+    assert len(log.handlers) == 2 and log.handlers[0].level == 40 and path.read_text().count("small thing") == 1

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import logging
 from datetime import UTC, datetime
 
 import numpy as np
@@ -11,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from ..logger import get_logger
 from ..sources import files
 from . import anomaly
 from .baseline import RetrainState
 from .features import finite
 
-log = logging.getLogger(__name__)
+log = get_logger(__name__)
 VERSIONS = {"format": f"{anomaly.FORMAT}.0", "numpy": np.__version__}
 
 

@@ -472,6 +472,16 @@ def graph_export(spark, d):
     return doc.select(*[F.get_json_object("graph", f"$.metadata.{c}").cast("long").alias(c) for c in ("node_count", "edge_count")])
 
 
+@query("SELECT 'node' AS kind, template_id AS a, NULL AS b, max(CASE WHEN label IN ('critical', 'medium') THEN 1 ELSE 0 END) = 1 AS anomalous FROM nodes JOIN lab USING (template_id) GROUP BY 2 UNION ALL SELECT 'edge', a, b, NULL FROM edges")
+def visible_graph(spark, d):
+    """The graph as it is shown: the most central templates, marked where anomalous, and the edges among them."""
+    _, nodes, links = _graph(spark, d)
+    links = staged(links, "edges")
+    seen, shown = views.visible_graph(graph.node_scores(nodes, links), links, scored_rows(spark, d))
+    none = F.lit(None)
+    return seen.select(F.lit("node").alias("kind"), F.col("template_id").alias("a"), none.cast("string").alias("b"), "anomalous").union(shown.select(F.lit("edge"), "a", "b", none.cast("boolean")))
+
+
 # --- anomaly ----------------------------------------------------------------
 
 @query("""SELECT s.sequence_number, round((z + 5) / 10, 6) AS combined_score FROM s JOIN zroll USING (host, session_id, template_id)""")
@@ -694,6 +704,11 @@ def incident_feed(spark, d):
     return views.incidents(cross_rows(spark, d), severity=["critical", "medium"], cross_only=True).select("correlation_id", "log_count", "label")
 
 
+@query("SELECT correlation_id, label, log_count FROM inc ORDER BY CASE label WHEN 'ignore' THEN 0 WHEN 'low' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END DESC, start_time DESC, correlation_id LIMIT 200")
+def incident_cards(spark, d):
+    return views.incident_cards(views.incident_rollup(cross_rows(spark, d))).select("correlation_id", "label", "log_count")
+
+
 @query("SELECT count(*) AS total, CAST(sum(CASE WHEN label = 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS critical, CAST(sum(CAST(is_cross_system AS INT)) AS BIGINT) AS cross_system, min(host) AS top_host FROM inc")
 def feed_tiles(spark, d):
     return views.feed_tiles(views.incident_rollup(cross_rows(spark, d)))
