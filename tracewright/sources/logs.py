@@ -59,6 +59,10 @@ def read_ground_truth(spark: SparkSession, folder: str) -> DataFrame:
     raise FileNotFoundError(f"no ground_truth.parquet or ground_truth.csv in {folder}")
 
 
+#: Parts of the input up to which their table is broadcast.
+FEW_PARTS = 100_000
+
+
 def number_lines(lines: DataFrame, keep: Column | None = None) -> DataFrame:
     """Dense numbers from 1 in file order over the rows where ``keep`` holds.
 
@@ -74,6 +78,8 @@ def number_lines(lines: DataFrame, keep: Column | None = None) -> DataFrame:
     parts = tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     order = Window.orderBy(*part)  # over the parts of the input, not its rows
     parts = parts.select(*[F.col(c).alias(f"_{c}_key") for c in part], "_first", (F.sum("_n").over(order) - F.col("_n")).alias("_before"))
+    parts = staged(parts, "parts")
+    parts = F.broadcast(parts) if parts.count() <= FEW_PARTS else parts
     both = tagged.join(parts, [F.col(c).eqNullSafe(F.col(f"_{c}_key")) for c in part])
     return both.select((F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("sequence_number"), *lines.columns)
 
