@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 
 import numpy as np
@@ -11,7 +12,12 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import shared_path, staged
 
-__all__ = ["drop_table", "fold_of", "held_out", "join_hot", "labelled_ids", "labelled_texts", "materialize", "shared_path", "text_buffer", "texts_of"]
+__all__ = ["drop_table", "fold_of", "held_out", "join_hot", "labelled_ids", "labelled_texts", "materialize", "release", "shared_path", "text_buffer", "texts_of"]
+
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
 
 #: Rows that carry a label are learned from unless crc32 of the id modulo this is 0.
 FOLDS = 5
@@ -21,6 +27,13 @@ FOLDS = 5
 materialize = staged
 
 
+def release() -> None:
+    """Give memory that a worker has freed back to the machine; workers live on and share it with the executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files behind a ``materialize`` result that nothing reads any more."""
     spark = df.sparkSession

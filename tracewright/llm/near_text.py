@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 from .components import connected_components
 from .shingling import codes_of, digests_of, distinct, offsets, shingle_sets, slices_of, words_of
 from .simhash import CHUNK_ROWS, GrayIndex
@@ -196,6 +196,7 @@ def _counts(rows: DataFrame, words: int) -> np.ndarray:
         for i, part in enumerate(np.minimum(total, 255).astype(np.uint8).reshape(-1, 1 << SHARD_BITS)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["shard", "n"])
+        release()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -229,15 +230,16 @@ def fold(names: np.ndarray) -> bytes:
 
 
 def bucket_pairs(
-    k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float, maps: np.ndarray | None = None
+    k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float, maps: np.ndarray | None = None, prev: np.ndarray | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(u, v, whole): pairs of rows with equal k and different comp that may be similar; not whole if some were put off.
 
-    ``maps`` are folded bitmaps, a row of words each.
+    ``maps`` are folded bitmaps, a row of words each.  ``prev`` names the shingle before
+    each row's in the common order: a pair that shares this as well meets there, earlier.
     """
     order = np.lexsort((ids, size, comp, k))
     k, comp, ids, size, pos = (x[order] for x in (k, comp, ids, size, pos))
-    maps = maps[order] if maps is not None else None
+    maps, prev = (x[order] if x is not None else None for x in (maps, prev))
     new = np.concatenate(([True], k[1:] != k[:-1]))
     g = np.cumsum(new) - 1
     first = new | np.concatenate(([True], comp[1:] != comp[:-1]))  # of its group in the bucket
@@ -258,6 +260,8 @@ def bucket_pairs(
             live, a, b = live[on], a[on], b[on]
             need = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9
             ok = (comp[a] != comp[b]) & (1 + np.minimum(size[a] - pos[a] - 1, size[b] - pos[b] - 1) >= need)
+            if prev is not None:
+                ok &= (prev[a] != prev[b]) | (pos[a] == 0) | (pos[b] == 0)
             a, b = a[ok], b[ok]
             if maps is not None and len(a):
                 far = np.bitwise_count(maps[a] ^ maps[b]).sum(1, dtype=np.int64)
@@ -270,9 +274,10 @@ def bucket_pairs(
 
 
 def _buckets(packed: DataFrame) -> DataFrame:
-    """(k, id, at, first, before, turn): the rows of first shingles that several texts have.
+    """(k, id, at, prev, first, before, turn): the rows of first shingles that several texts have.
 
-    ``at`` is the size of the text's set, then the shingle's place in it; ``first``
+    ``at`` is the size of the text's set, then the shingle's place in it, ``prev`` the shingle
+    before it (0 for none); ``first``
     and ``before`` are the bucket's first text and the one before this in size, and
     ``turn`` is the row's number in the bucket, from 0.  Rows come sorted, so a bucket
     of any size passes through in batches.
@@ -286,40 +291,42 @@ def _buckets(packed: DataFrame) -> DataFrame:
                 n = np.array([len(x) for x in names], np.int64)
                 place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 at = np.repeat(part.column(1).to_numpy().astype(np.int64) << 32, n) | place
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).view(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(at)], ["k", "id", "at"])
+                k = np.concatenate(names).view(np.int64)
+                prev = np.where(place > 0, np.concatenate((k[:1], k[:-1])), 0)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.repeat(part.column(0).to_numpy(), n)), pa.array(at), pa.array(prev)], ["k", "id", "at", "prev"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the last row so far, of which it is not known yet whether another of its bucket follows
 
-        def marked(k, i, at):
+        def marked(k, i, at, prev):
             """First text of each row's bucket, the text before the row, the row's number, whether there is one before, whether the bucket has several."""
             same = k[1:] == k[:-1]
             later = np.concatenate(([False], same))
             head = np.maximum.accumulate(np.where(later, 0, np.arange(len(k))))
             first, before, turn = i[head], np.concatenate((i[:1], i[:-1])), np.arange(len(k)) - head
             if held is not None:  # row 0 is the one that was held back
-                turn[head == 0] += held[5]
-                first[head == 0], before[0], later[0] = held[3], held[4], held[6]
+                turn[head == 0] += held[6]
+                first[head == 0], before[0], later[0] = held[4], held[5], held[7]
             return first, before, turn, later, later | np.concatenate((same, [False]))
 
-        def batch(k, i, at, first, before, turn, later, several):
-            made = [pa.array(x[several]) for x in (k, i, at, first)] + [pa.array(before[several], mask=~later[several]), pa.array(turn[several])]
-            return pa.RecordBatch.from_arrays(made, ["k", "id", "at", "first", "before", "turn"])
+        def batch(k, i, at, prev, first, before, turn, later, several):
+            made = [pa.array(x[several]) for x in (k, i, at, prev, first)] + [pa.array(before[several], mask=~later[several]), pa.array(turn[several])]
+            return pa.RecordBatch.from_arrays(made, ["k", "id", "at", "prev", "first", "before", "turn"])
 
         for b in batches:
             if not len(b):
                 continue
-            cols = tuple(b.column(c).to_numpy() for c in range(3))
+            cols = tuple(b.column(c).to_numpy() for c in range(4))
             if held is not None:
-                cols = tuple(np.concatenate(([x], y)) for x, y in zip(held[:3], cols, strict=True))
+                cols = tuple(np.concatenate(([x], y)) for x, y in zip(held[:4], cols, strict=True))
             cols = (*cols, *marked(*cols))
             yield batch(*(x[:-1] for x in cols))
-            held = tuple(x[-1] for x in cols[:7])
-        if held is not None and held[6]:
+            held = tuple(x[-1] for x in cols[:8])
+        if held is not None and held[7]:
             yield batch(*(np.array([x]) for x in (*held, True)))
 
-    rows = packed.select("id", "size", "names").mapInArrow(spread, "k long, id long, at long")
-    return rows.repartition("k").sortWithinPartitions("k", "at", "id").mapInArrow(search, "k long, id long, at long, first long, before long, turn long")
+    rows = packed.select("id", "size", "names").mapInArrow(spread, "k long, id long, at long, prev long")
+    return rows.repartition("k").sortWithinPartitions("k", "at", "id").mapInArrow(search, "k long, id long, at long, prev long, first long, before long, turn long")
 
 
 def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFrame, similarity: float, limit: float) -> DataFrame:
@@ -329,7 +336,7 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFram
         def run(held):
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
             us, vs, at, put_off = [], [], 0, False
-            for u, v, whole in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit, cols[4]):
+            for u, v, whole in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit, cols[5], cols[4]):
                 us.append(u)
                 vs.append(v)
                 at += len(u)
@@ -350,7 +357,7 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFram
         for b in batches:
             if not len(b):
                 continue
-            cols = (*(b.column(i).to_numpy() for i in range(4)), np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(len(b), -1))
+            cols = (*(b.column(i).to_numpy() for i in range(5)), np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint64).reshape(len(b), -1))
             if rows >= CHUNK_ROWS:  # the held rows end where a bucket ends
                 inside = cols[0] != held[-1][0][-1]
                 cut = int(np.argmax(inside)) if inside.any() else len(inside)
@@ -366,13 +373,13 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFram
         if held:
             yield from run(held)
 
-    rows = buckets.select("k", "id", "at").join(comps, "id").select("k", "comp", "id", "at")
+    rows = buckets.select("k", "id", "at", "prev").join(comps, "id").select("k", "comp", "id", "at", "prev")
     several = rows.groupBy("k").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("k")
-    rows = materialize(rows.join(several, "k", "left_semi"), "open").join(packed.select("id", "fold"), "id").select("k", "comp", "id", "at", "fold")
+    rows = materialize(rows.join(several, "k", "left_semi"), "open").join(packed.select("id", "fold"), "id").select("k", "comp", "id", "at", "prev", "fold")
     # Each two blocks of a bucket of very many rows meet in a bucket of their own.
     mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.xxhash64("k", F.least(mine, c), F.greatest(mine, c)))
-    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at", "fold")
+    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at", "prev", "fold")
     rows = rows.join(hot, "k", "left_anti").union(split)
     return rows.repartition("k").sortWithinPartitions("k").mapInArrow(search, "u long, v long").distinct()
 
@@ -407,12 +414,13 @@ def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int
                 names, maps, folds = [prefix(x, counts, similarity).tobytes() for x in sets], [bitmap(x).tobytes() for x in sets], [fold(x) for x in sets]
                 made = [pa.array(n.astype(np.int32)), *(pa.array(x, pa.binary()) for x in (names, maps, folds))]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *made], ["id", "size", "names", "map", "fold"])
+        release()
 
     packed = rows.mapInArrow(pack, "id long, size int, names binary, map binary, fold binary").filter("size > 0")
     packed = materialize(packed.join(owners.select("id"), "id", "left_semi").dropDuplicates(["id"]), "prefixes")
     buckets = materialize(_buckets(packed), "buckets")
     # In a bucket of three all pairs meet at first; larger ones are met again.
-    large = materialize(buckets.join(buckets.filter("turn = 3").select("k"), "k", "left_semi").select("k", "id", "at"), "large")
+    large = materialize(buckets.join(buckets.filter("turn = 3").select("k"), "k", "left_semi").select("k", "id", "at", "prev"), "large")
     hot = large.groupBy("k").count().filter(F.col("count") > HOT_ROWS)
     hot = materialize(hot.select("k", F.ceil(F.col("count") / HOT_ROWS).cast("long").alias("blocks")), "hot")
     tried, limit, whole = None, OPEN_PAIRS, False
@@ -473,6 +481,7 @@ def duplicate_ids(docs: DataFrame, words: int = WORDS, similarity: float = SIMIL
                 arrays = [pa.array(x.view(np.int64)) for x in (code, high, low)]
                 arrays[1] = pa.array(high.view(np.int64), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *arrays], ["id", "code", "high", "low"])
+        release()
 
     def sketched(rows: DataFrame) -> DataFrame:
         return materialize(rows.mapInArrow(sketch, "id long, code long, high long, low long").filter("high is not null"), "sketches")

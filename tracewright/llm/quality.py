@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, held_out, labelled_texts, texts_of
+from .common import drop_table, held_out, labelled_texts, release, texts_of
 
 SAMPLE, VOCABULARY, DIM, NONZERO, WINDOW, HIDDEN = 6000, 6000, 64, 6, 2, 24
 _CACHE = 150_000
@@ -248,5 +248,6 @@ def filter_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
             if len(b):
                 s = model.score(np.stack([document_vector(t, model.words, model.vectors) for t in texts_of(b)]))
                 yield b.filter(pa.array(s >= threshold))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

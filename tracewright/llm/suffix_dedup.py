@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_buffer
+from .common import release, text_buffer
 from .suffix_sort import Suffixes, least_by
 
 SPAN, GRAM, BUCKET_BYTES, BLOCK_BYTES, STRETCH = 50, 16, 8 << 20, 2 << 20, 128 << 10
@@ -380,6 +380,7 @@ def _fetch(buckets: int):
                 own = (ids[row[sel]], tags[row[sel]].astype(np.uint16), start[sel].astype(np.int32), size[sel].astype(np.int32))
                 raw_ = np.frombuffer(bz2.compress(bytes_[ragged(x[sel], size[sel])].tobytes()), np.uint8)
                 rows.append((int(k), 4, pack(*_six(name[sel]), np.full(len(sel), here, np.int32), *own, raw_)))
+        release()
         return batch_of(rows)
 
     return run
@@ -442,6 +443,8 @@ def _match(buckets: int):
             raw = np.frombuffer(b"".join(bz2.decompress(p[-1].tobytes()) for p in parts), np.uint8)
             seg, at, length = match(_name(low, high), ids, start.astype(np.int64), size.astype(np.int64), raw)
             rows += _spans(home[seg], ids[seg], tags[seg], at, length)
+            del parts, raw
+        release()
         return batch_of(rows)
 
     return run
@@ -491,6 +494,7 @@ def _keep(as_text: bool):
             other = pa.concat_tables([read(x) for x in streams])
             for name in other.column_names:
                 table = table.append_column(name, other.column(name))
+        release()
         return table
 
     return run

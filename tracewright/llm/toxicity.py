@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, held_out, labelled_texts, texts_of
+from .common import drop_table, held_out, labelled_texts, release, texts_of
 
 SAMPLE, TERMS, WINDOW, SUPPORT, PRECISION = 12_000, 400, 6, 6, 0.8
 _STEMS, _ENDINGS = (4, 5, 6, 7, 8), 4
@@ -336,5 +336,6 @@ def filter_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
         for b in batches:
             if len(b):
                 yield b.filter(pa.array(model.score(texts_of(b)) < threshold))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
