@@ -88,24 +88,24 @@ def tile_links(
     links, links2 = np.zeros(len(ids), np.int64), np.zeros(len(ids2), np.int64)
     u, v = [ids[:0]], [ids[:0]]
     for lo in range(0, len(ids), BLOCK):
-        h = slice(lo, min(len(ids), lo + BLOCK))
-        cos = x[h] @ x2.T
-        hit = cos >= cosine
-        for i, j in zip(*np.nonzero(np.abs(cos - cosine) < EDGE), strict=True):
-            hit[i, j] = exact_cosine(x[lo + i], x2[j]) >= cosine
-        if b is None:
-            hit &= np.arange(lo, lo + len(hit))[:, None] < np.arange(len(ids2))
-        # Both visit: their homes see it.  One visits: only if the other does not enter the visitor's home, or that is a larger cell.
-        one, two = home[h] == cell, home2 == cell
-        hit &= one[:, None] | two
-        if hit.any():
-            skip = ~two & one[:, None] & enters[h][:, home2] & (home2 < cell)
-            skip |= ~one[:, None] & two & enters2[:, home[h]].T & (home[h] < cell)[:, None]
-            hit &= ~skip
-            links[h] += hit @ n2
-            links2 += n[h] @ hit
-            i, j = np.nonzero(hit)
-            p, q = spanning(ids[h][i], ids2[j]) if len(i) else (ids[:0], ids[:0])
+        start = lo if b is None else 0  # inside a block, pairs are taken once
+        cos = x[lo : lo + BLOCK] @ x2[start:].T
+        i, j = np.nonzero(cos >= cosine - EDGE)
+        near = cos[i, j]
+        i, j = i + lo, j + start
+        keep = (i < j) if b is None else np.ones(len(i), bool)
+        for at in np.flatnonzero(keep & (near < cosine + EDGE)):
+            keep[at] = exact_cosine(x[i[at]], x2[j[at]]) >= cosine
+        i, j = i[keep], j[keep]
+        # Both at home: counted here.  One visits: here unless the other enters the visitor's home too and that is the smaller cell.
+        one, two = home[i] == cell, home2[j] == cell
+        other = (one & ~two & enters[i, home2[j]] & (home2[j] < cell)) | (~one & two & enters2[j, home[i]] & (home[i] < cell))
+        mine = (one | two) & ~other
+        i, j = i[mine], j[mine]
+        if len(i):
+            links += np.bincount(i, weights=n2[j], minlength=len(ids)).astype(np.int64)
+            links2 += np.bincount(j, weights=n[i], minlength=len(ids2)).astype(np.int64)
+            p, q = spanning(ids[i], ids2[j])
             u.append(p[p != q])
             v.append(q[p != q])
     p, q = np.concatenate(u), np.concatenate(v)
