@@ -224,6 +224,25 @@ def test_near_texts_beyond_the_radius(spark, monkeypatch, hot):
     assert {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()} == want
 
 
+def test_near_texts_read_only_open_buckets_again(spark, monkeypatch):
+    """A crowded shingle takes rounds; the buckets that the first one settled are not read by a later one."""
+    rng = np.random.default_rng(25)
+    crowd = words(rng, 5, 5000)
+    rows = [(i, crowd + " " + words(rng, 40, 5000)) for i in range(60)]
+    for g in range(8):  # groups of texts that differ in few words, in buckets of four to six
+        w = words(rng, 60, 5000).split()
+        for i in range(6):
+            rows.append((100 + 10 * g + i, " ".join(w[: 52 + i] + words(rng, 8 - i, 5000).split())))
+    read, meet = [], near_text._meet
+    monkeypatch.setattr(near_text, "OPEN_PAIRS", 4)
+    monkeypatch.setattr(near_text, "prefix", lambda names, counts, similarity: names[np.argsort(names)])  # every shingle, so that the crowded one takes part
+    monkeypatch.setattr(near_text, "_meet", lambda large, *more: read.append({(r[0], r[1]) for r in large.groupBy("k").count().collect()}) or meet(large, *more))
+    got = {r[0] for r in near_text.duplicate_ids(docs(spark, rows)).collect()}
+    assert got == brute_near(rows)[1]
+    assert len(read) > 1 and max(n for _, n in read[0]) == 60 and len(read[0]) > 10
+    assert all(b < a for a, b in zip(read[:1], read[1:])) and all(n > 8 for _, n in read[1])
+
+
 def test_near_texts_with_repeated_ids(spark):
     rng = np.random.default_rng(41)
     a, b = words(rng, 80, 5000), words(rng, 80, 5000)

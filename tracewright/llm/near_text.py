@@ -19,7 +19,7 @@ joins most groups.  Then texts of one group are not compared again; sizes, place
 the order and parity bitmaps rule out most other pairs, none of them similar.  A
 bucket with very many pairs first compares one text per group with its neighbours in
 size, and goes on after groups have joined, until no pair of two groups is left
-undecided.
+undecided; only such buckets are read again.
 """
 
 from __future__ import annotations
@@ -230,12 +230,13 @@ def fold(names: np.ndarray) -> bytes:
 
 
 def bucket_pairs(
-    k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float, maps: np.ndarray | None = None, prev: np.ndarray | None = None
+    k: np.ndarray, comp: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray, similarity: float, limit: float, maps: np.ndarray | None = None, prev: np.ndarray | None = None, left: list | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(u, v, whole): pairs of rows with equal k and different comp that may be similar; not whole if some were put off.
 
     ``maps`` are folded bitmaps, a row of words each.  ``prev`` names the shingle before
     each row's in the common order: a pair that shares this as well meets there, earlier.
+    The k of which pairs were put off go to ``left``.
     """
     order = np.lexsort((ids, size, comp, k))
     k, comp, ids, size, pos = (x[order] for x in (k, comp, ids, size, pos))
@@ -270,6 +271,8 @@ def bucket_pairs(
             yield np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), True
             d += 1
     if wide.any():
+        if left is not None:
+            left.append(np.unique(k[wide]))
         yield ids[:0], ids[:0], False
 
 
@@ -330,24 +333,24 @@ def _buckets(packed: DataFrame) -> DataFrame:
 
 
 def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFrame, similarity: float, limit: float) -> DataFrame:
-    """(u, v) of ``bucket_pairs`` over the buckets of several groups; a row of nulls if pairs were put off."""
+    """(u, v) of ``bucket_pairs`` over the buckets of several groups; (null, k) for each bucket of which pairs were put off."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def run(held):
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            us, vs, at, put_off = [], [], 0, False
-            for u, v, whole in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit, cols[5], cols[4]):
+            us, vs, at, left = [], [], 0, []
+            for u, v, _ in bucket_pairs(*cols[:3], cols[3] >> 32, cols[3] & 0xFFFFFFFF, similarity, limit, cols[6], cols[4], left):
                 us.append(u)
                 vs.append(v)
                 at += len(u)
-                put_off |= not whole
                 if at > 500_000:
                     yield unique(us, vs)
                     us, vs, at = [], [], 0
             if at:
                 yield unique(us, vs)
-            if put_off:
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2, ["u", "v"])
+            if left:
+                open_ = np.unique(cols[5][np.isin(cols[0], np.concatenate(left))])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(open_), pa.int64()), pa.array(open_)], ["u", "v"])
 
         def unique(us, vs):
             both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)]), axis=1)
@@ -357,7 +360,7 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFram
         for b in batches:
             if not len(b):
                 continue
-            cols = (*(b.column(i).to_numpy() for i in range(5)), np.frombuffer(b"".join(b.column(5).to_pylist()), np.uint64).reshape(len(b), -1))
+            cols = (*(b.column(i).to_numpy() for i in range(6)), np.frombuffer(b"".join(b.column(6).to_pylist()), np.uint64).reshape(len(b), -1))
             if rows >= CHUNK_ROWS:  # the held rows end where a bucket ends
                 inside = cols[0] != held[-1][0][-1]
                 cut = int(np.argmax(inside)) if inside.any() else len(inside)
@@ -375,11 +378,11 @@ def _meet(buckets: DataFrame, hot: DataFrame, comps: DataFrame, packed: DataFram
 
     rows = buckets.select("k", "id", "at", "prev").join(comps, "id").select("k", "comp", "id", "at", "prev")
     several = rows.groupBy("k").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("k")
-    rows = materialize(rows.join(several, "k", "left_semi"), "open").join(packed.select("id", "fold"), "id").select("k", "comp", "id", "at", "prev", "fold")
+    rows = materialize(rows.join(several, "k", "left_semi"), "open").join(packed.select("id", "fold"), "id").select("k", "comp", "id", "at", "prev", F.col("k").alias("own"), "fold")
     # Each two blocks of a bucket of very many rows meet in a bucket of their own.
     mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.xxhash64("k", F.least(mine, c), F.greatest(mine, c)))
-    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at", "prev", "fold")
+    split = rows.join(hot, "k").withColumn("k", F.explode(pair)).select("k", "comp", "id", "at", "prev", "own", "fold")
     rows = rows.join(hot, "k", "left_anti").union(split)
     return rows.repartition("k").sortWithinPartitions("k").mapInArrow(search, "u long, v long").distinct()
 
@@ -434,7 +437,10 @@ def exact_links(rows: DataFrame, owners: DataFrame, links: DataFrame, words: int
             met = materialize(met, "met")
         else:
             met = materialize(_meet(large, hot, comps, packed, similarity, limit).join(tried, ["u", "v"], "left_anti"), "met")
-            whole = met.filter("u is null").isEmpty()
+            put_off = met.filter("u is null").select(F.col("v").alias("k")).distinct()
+            whole = put_off.isEmpty()
+            if not whole:  # of every other bucket all pairs have met
+                large = materialize(large.join(put_off, "k", "left_semi"), "left")
         asked = met.filter("u is not null")
         pairs = materialize(_possible(asked, packed, similarity), "pairs")
         more = materialize(_decide(pairs, _sets(rows, pairs, words), similarity), "links")
