@@ -120,6 +120,56 @@ def test_repeats_of_nothing_and_as_text(spark):
     assert by_id(suffix_dedup.remove_repeats(docs(spark, rows), as_text=True))[2]["kept"] == "x"
 
 
+def test_repeats_send_one_row_per_bucket_and_batch():
+    """Rows sent follow the buckets, not the blocks in which a batch or a bucket is read."""
+    import pyarrow as pa
+    import pyarrow.compute
+
+    rng = np.random.default_rng(12)
+    same = rng.integers(97, 123, 530_000, np.uint8).tobytes().decode()
+    texts = [same + rng.integers(97, 123, 530_000, np.uint8).tobytes().decode() for _ in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4), pa.int64()), pa.array([t.encode() for t in texts])], ["doc_id", "text"])
+    assert len(list(suffix_dedup._text_of(batch).blocks())) > 3
+    sent = collections.Counter((r["bucket"], r["kind"]) for b in suffix_dedup._names(4)(iter([batch])) for r in b.select([0, 1]).to_pylist())
+    assert set(sent.values()) == {1} and {k for k, _ in sent} == set(range(4))
+    # The same through the second step, with all names asked for.
+    tagged = suffix_dedup._text_of(batch)
+    texts = pa.concat_tables([pa.Table.from_batches([b]) for b in suffix_dedup._texts(1)(iter([batch]))])
+    n = [int((row == i).sum()) for row in [np.concatenate([r for r, *_ in tagged.blocks()])] for i in range(4)]
+    asked = suffix_dedup.batch_of([(0, 1, suffix_dedup.pack(np.repeat(suffix_dedup._short(tagged.tags), n), np.concatenate([np.arange(x, dtype=np.int32) for x in n])))])
+    made = suffix_dedup._fetch(4)(texts, asked)
+    sent = collections.Counter((r["bucket"], r["kind"]) for r in made.select([0, 1]).to_pylist() if r["kind"] == 4)
+    assert set(sent.values()) == {1} and len(sent) == 4
+    spans = [suffix_dedup.unpack(r["blob"])[:4] for t in (made, *(suffix_dedup._match(4)(made.filter(pa.compute.equal(made["bucket"], k))) for k in range(4))) for r in t.to_pylist() if r["kind"] == 3]
+    gone = {i: np.zeros(1_060_000, bool) for i in range(4)}
+    for ids, _, start, size in spans:
+        for i, s, e in zip(ids.tolist(), start.tolist(), (start + size).tolist()):
+            gone[i][s:e] = True
+    assert not gone[0].any() and all(gone[i][:530_000].all() and not gone[i][530_100:].any() for i in (1, 2, 3))
+
+
+@pytest.mark.parametrize("gram", [1, 7, 16, 24])
+def test_segments_name_equal_windows_alike(gram):
+    rng = np.random.default_rng(13)
+    text = rng.integers(97, 123, 400, np.uint8)
+    raw, offs = np.concatenate([text, rng.integers(97, 123, 300, np.uint8), text[100:300]]), np.array([0, 400, 700, 900])
+    start, count, name = suffix_dedup.segments(raw, offs, gram=gram)
+    of = {int(s) + i: k for s, c, k in zip(start, count, name.tolist()) for i in range(c)}
+    assert sorted(of) == [i for a, b in ((0, 400), (400, 700), (700, 900)) for i in range(a, b - 49)]
+    assert all(of[100 + i] == of[700 + i] for i in range(151))
+
+
+def test_common_phrases_of_twenty_bytes_bring_no_segments_together():
+    """What stands in all texts but is far shorter than the span names nothing."""
+    rng = np.random.default_rng(14)
+    letters = lambda n: rng.integers(97, 123, n, np.uint8)
+    phrases = [letters(20) for _ in range(10)]
+    raw = np.concatenate([np.concatenate([p, letters(30)]) for _ in range(40) for p in phrases])
+    row_bytes = len(raw) // 40
+    start, _, name = suffix_dedup.segments(raw, np.arange(41) * row_bytes)
+    assert not suffix_dedup._settle(name, start // row_bytes).any()
+
+
 # --- SimHash ------------------------------------------------------------------
 
 def brute_fp(text, n=3):

@@ -22,7 +22,6 @@ many documents share arrives once per task.
 
 from __future__ import annotations
 
-import bz2
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,10 @@ from pyspark.sql import functions as F
 from .common import release, text_buffer
 from .suffix_sort import Suffixes, least_by
 
-SPAN, GRAM, BUCKET_BYTES, BLOCK_BYTES, STRETCH = 50, 16, 8 << 20, 2 << 20, 128 << 10
+#: Bytes of a k-gram: shorter ones repeat by chance the more the larger the input, longer ones make more segments.
+SPAN, GRAM, BUCKET_BYTES, BLOCK_BYTES, STRETCH = 50, 24, 8 << 20, 2 << 20, 128 << 10
+#: Names, and bytes of segments, that a task gathers before it deals them out, so that the rows it sends follow the buckets and not the blocks.
+HELD_NAMES, HELD_BYTES = 1 << 20, 2 * BUCKET_BYTES
 _BASE, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 _NAME = np.uint64((1 << 48) - 1)  #: names travel as six bytes; what shares one by chance is told apart by the sort
 _LAST = np.iinfo(np.int64).max
@@ -80,10 +82,15 @@ def segments(raw: np.ndarray, offs: np.ndarray, span: int = SPAN, gram: int = GR
     if n < span:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, np.uint64)
-    h = raw.astype(np.uint64) + np.uint64(1)
-    size, power = 1, int(_BASE)
-    while size < gram:  # gram is a power of two
-        h = h[:-size] * np.uint64(power) + h[size:]
+    part = raw.astype(np.uint64) + np.uint64(1)
+    size, power, h, have = 1, int(_BASE), None, 0
+    while True:  # hashes of 1, 2, 4, ... bytes; those that make up a gram are put together
+        if gram & size:
+            h = part if h is None else h[: len(h) - size] * np.uint64(power) + part[have:]
+            have += size
+        if have == gram:
+            break
+        part = part[:-size] * np.uint64(power) + part[size:]
         power = power * power % (1 << 64)
         size *= 2
     least = _mix(h)
@@ -231,24 +238,35 @@ def _spans(home: np.ndarray, ids: np.ndarray, tags: np.ndarray, start: np.ndarra
 def _names(buckets: int):
     """Step 1, map side: names to their buckets; what already repeats here is settled here."""
 
+    def deal(held: list[tuple]) -> list[pa.RecordBatch]:
+        if not held:
+            return []
+        known, own = ([np.concatenate(c) for c in zip(*x, strict=True)] for x in zip(*held, strict=True))
+        return batch_of(spread(known[0], 1, *known[1:]) + spread(own[0], 0, *own[1:])).to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
             t = _text_of(b)
+            held, waiting = [], 0
             for row, _, number, _, name in t.blocks():
                 if not len(row):
                     continue
                 ids, tag, number = t.ids[row], _short(t.tags)[row], number.astype(np.int32)
                 home = _home(t.tags, buckets)[row]
                 known = _settle(name, ids)
-                rows = spread(home[known], 1, tag[known], number[known])
                 order = np.lexsort((number, ids, name))
                 lead = np.concatenate(([True], name[order][1:] != name[order][:-1]))
                 send = np.sort(order[lead | ~known[order]])  # of a settled name one row tells the others
                 to = (_mix(name[send]) >> np.uint64(7)) % np.uint64(buckets)
-                rows += spread(to.astype(np.int64), 0, *_six(name[send]), ids[send], home[send].astype(np.uint32), tag[send], number[send], known[send].view(np.uint8))
-                yield from batch_of(rows).to_batches()
+                own = (to.astype(np.int32), *_six(name[send]), ids[send], home[send].astype(np.uint32), tag[send], number[send], known[send].view(np.uint8))
+                held.append(((home[known].astype(np.int32), tag[known], number[known]), own))
+                waiting += len(send) + int(known.sum())
+                if waiting >= HELD_NAMES:
+                    yield from deal(held)
+                    held, waiting = [], 0
+            yield from deal(held)
 
     return run
 
@@ -331,6 +349,22 @@ def _covered(suffixes: Suffixes, group: np.ndarray, x: np.ndarray, cap: np.ndarr
     return out
 
 
+def _dealt(here: int, held: list[tuple]) -> list[tuple[int, int, bytes]]:
+    """One row per bucket of names with all segments that go there."""
+    if not held:
+        return []
+    to, low, high, ids, tags, start, size, raw = (np.concatenate(c) for c in zip(*held, strict=True))
+    order = np.argsort(to, kind="stable")
+    x = (np.cumsum(size, dtype=np.int64) - size)[order]
+    to, low, high, ids, tags, start, size = (c[order] for c in (to, low, high, ids, tags, start, size))
+    at = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1]))) if len(to) else []
+    rows = []
+    for i, j in zip(at, np.append(at[1:], len(to)), strict=True):
+        own = (low[i:j], high[i:j], np.full(j - i, here, np.int32), ids[i:j], tags[i:j], start[i:j], size[i:j])
+        rows.append((int(to[i]), 4, pack(*own, raw[ragged(x[i:j], size[i:j])])))
+    return rows
+
+
 def _fetch(buckets: int):
     """Step 2, map side: the bytes of repeated segments; those equal to one of a smaller id here are settled."""
 
@@ -361,6 +395,7 @@ def _fetch(buckets: int):
         w_row, w_num = by_tag[ragged(lo, hi - lo)], np.repeat(w_num, hi - lo)
         order = np.argsort(w_row, kind="stable")
         w_row, w_num = w_row[order], w_num[order]
+        held, waiting = [], 0
         for row, start, _, win, name in t.blocks():
             if not len(row):
                 continue
@@ -374,12 +409,14 @@ def _fetch(buckets: int):
             gone = _covered(Suffixes(bytes_), name, x, size, ids[row])
             rows += _spans(np.full(int(gone.sum()), here), ids[row[gone]], tags[row[gone]], start[gone], size[gone])
             stay = np.flatnonzero(~gone)
-            to = ((_mix(name[stay]) >> np.uint64(7)) % np.uint64(buckets)).astype(np.int64)
-            for k in np.unique(to):
-                sel = stay[to == k]
-                own = (ids[row[sel]], tags[row[sel]].astype(np.uint16), start[sel].astype(np.int32), size[sel].astype(np.int32))
-                raw_ = np.frombuffer(bz2.compress(bytes_[ragged(x[sel], size[sel])].tobytes()), np.uint8)
-                rows.append((int(k), 4, pack(*_six(name[sel]), np.full(len(sel), here, np.int32), *own, raw_)))
+            to = (_mix(name[stay]) >> np.uint64(7)) % np.uint64(buckets)
+            own = (ids[row[stay]], tags[row[stay]].astype(np.uint16), start[stay].astype(np.int32), size[stay].astype(np.int32))
+            held.append((to.astype(np.int32), *_six(name[stay]), *own, bytes_ if len(stay) == len(x) else bytes_[ragged(x[stay], size[stay])]))
+            waiting += len(held[-1][-1])
+            if waiting >= HELD_BYTES:
+                rows += _dealt(here, held)
+                held, waiting = [], 0
+        rows += _dealt(here, held)
         release()
         return batch_of(rows)
 
@@ -440,7 +477,7 @@ def _match(buckets: int):
         if own:
             parts = [unpack(x) for x in own]
             low, high, home, ids, tags, start, size = (np.concatenate(c) for c in zip(*[p[:-1] for p in parts], strict=True))
-            raw = np.frombuffer(b"".join(bz2.decompress(p[-1].tobytes()) for p in parts), np.uint8)
+            raw = np.concatenate([p[-1] for p in parts])
             seg, at, length = match(_name(low, high), ids, start.astype(np.int64), size.astype(np.int64), raw)
             rows += _spans(home[seg], ids[seg], tags[seg], at, length)
             del parts, raw
