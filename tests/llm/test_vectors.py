@@ -120,6 +120,16 @@ def test_near_vectors_against_brute_force(spark, monkeypatch, cell_rows, tile):
             assert (r["n_links"], r["component_id"], r["kept"]) == (n[i], comp.get(i, i), comp.get(i, i) == i)
 
 
+def test_near_vectors_move_by_digest(spark, monkeypatch):
+    """Rows are told apart and named without their vectors; zeros of either sign are equal, labels are not."""
+    written, keep = {}, embed_dedup.materialize
+    monkeypatch.setattr(embed_dedup, "materialize", lambda df, tag: written.setdefault(tag, df.columns) and keep(df, tag))
+    rows = [(4, [0.0, 1.0], 1), (2, [-0.0, 1.0], 1), (3, [0.0, 1.0], 2), (9, [0.1, 1.0], 1), (4, [0.0, 1.0], 1)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(2, 3, 2), (3, 0, 3), (4, 3, 2), (4, 3, 2), (9, 3, 2)]
+    assert written["keys"] == ["vec_id", "key"] and written["named"] == ["key", "found", "root", "n"]
+
+
 def test_vectors_of_nothing(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], KIND)).count() == 0
     assert embed_dedup.near_duplicates(spark.createDataFrame(NONE, KIND)).count() == len(NONE)

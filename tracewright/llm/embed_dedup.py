@@ -21,6 +21,7 @@ all rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from math import fsum
 
 import numpy as np
@@ -166,7 +167,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vec") == dim[0])
         & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0), F.lit(False)
     )
-    same = materialize(rows.filter(ok).groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")), "distinct")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            labels, x = b.column(1).to_numpy(), matrix(b.column(2)) + 0.0  # no negative zeros
+            keys = [blake2b(v.tobytes(), digest_size=16, key=k.tobytes()).digest() for k, v in zip(labels, x)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], ["vec_id", "label", "vec", "key"])
+
+    # Vectors move by a digest of 128 bits; they themselves move once to be told apart, and once per cell.
+    keyed = rows.filter(ok).mapInArrow(name, f"vec_id long, label long, vec {rows.schema['vec'].dataType.simpleString()}, key binary")
+    least = F.min_by(F.struct("label", "vec"), "vec_id")
+    same = keyed.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), least.alias("own"))
+    same = materialize(same.select("own.label", "own.vec", "rep", "n", "key"), "distinct")
     centres, shared = _centres(same, sample, cell_rows, cosine)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +193,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
                 more = [pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), lists.take(pa.array(row))]
                 yield pa.RecordBatch.from_arrays([*took.columns, *more], [*took.schema.names, "cell", "home", "enters"])
 
-    placed = same.mapInArrow(place, f"label long, vec {same.schema['vec'].dataType.simpleString()}, rep long, n long, cell int, home int, enters array<int>")
+    placed = same.select("label", "vec", "rep", "n").mapInArrow(place, f"label long, vec {same.schema['vec'].dataType.simpleString()}, rep long, n long, cell int, home int, enters array<int>")
     # A cell of many rows is cut into blocks; a row goes to the tasks that compare its block with each block.
     blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks")).filter("blocks > 1")
     blocks = materialize(blocks, "blocks")
@@ -217,7 +229,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     links = found.filter("u = v").groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
     roots = connected_components(found.select("u", "v")).withColumnRenamed("u", "rep")
     named = same.join(links, "rep", "left").join(roots, "rep", "left").select(
-        F.struct("label", "vec").alias("k"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("found"), F.coalesce("root", "rep").alias("root"), "n"
+        "key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("found"), F.coalesce("root", "rep").alias("root"), "n"
     )
-    joined = join_hot(rows.filter(ok).select("vec_id", F.struct("label", "vec").alias("k")), materialize(named, "named"), "k")
+    joined = join_hot(materialize(keyed.select("vec_id", "key"), "keys"), materialize(named, "named"), "key")
     return joined.select("vec_id", F.col("found").cast("long").alias("n_links"), F.col("root").alias("component_id"), (F.col("root") == F.col("vec_id")).alias("kept")).unionByName(alone(rows.filter(~ok)))
