@@ -170,3 +170,21 @@ def test_cells_lose_no_link():
     home, enters = embed_dedup.cells_of(x, c, 0.9)
     i, j = np.nonzero(x @ x.T >= 0.9)
     assert (enters[j, home[i]] | enters[i, home[j]]).all() and enters.mean() < 0.6
+
+
+def test_evenly_spread_vectors_move_once(spark, monkeypatch):
+    """Vectors that would enter many cells get one cell; clustered ones keep theirs."""
+    rng, placed = np.random.default_rng(2), []
+    fitted = embed_dedup._centres
+    monkeypatch.setattr(embed_dedup, "WORTH", 4000)
+    monkeypatch.setattr(embed_dedup, "_centres", lambda *a: placed.append(fitted(*a)) or placed[-1])
+    even = rng.normal(size=(3000, 32)).astype(np.float32)
+    lumps = (rng.normal(size=(40, 32))[rng.integers(0, 40, 3000)] * 4 + rng.normal(size=(3000, 32)) * 0.3).astype(np.float32)
+    for x, most in ((even, 1.0), (lumps, 1.5)):
+        df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], KIND)
+        got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(df).collect()}
+        u = embed_dedup.unit(x.astype(np.float64))
+        assert [got[i] for i in range(3000)] == ((u @ u.T >= 0.93).sum(1) - 1).tolist()
+        assert embed_dedup.cells_of(u, placed[-1][0][1], 0.93)[1].sum(1).mean() <= most
+    assert len(placed[0][0][1]) == 1 < len(placed[1][0][1])
+    assert embed_dedup.block_rows(64) == embed_dedup.TILE and embed_dedup.block_rows(1024) * 1024 <= embed_dedup.COMPONENTS

@@ -12,8 +12,9 @@ Cells are cut into blocks of bounded size and each two blocks are compared by on
 task, in smaller products.  A task returns each row's number of links and a
 spanning forest, never all pairs.
 
-Centres are fitted on a bounded sample, as many as keep the number of cells that a
-vector enters small (measured on the sample), per label for the labels that hold much of
+Centres are fitted on a bounded sample, as many as make copies of vectors and products
+least (cells entered are measured on the sample; evenly spread vectors get one cell, in
+which each moves once per block), per label for the labels that hold much of
 the table and for all others together; the assignment, and what is compared, cover
 all rows.
 """
@@ -33,10 +34,10 @@ from .ann import matrix, valid_vectors
 from .common import join_hot, materialize
 from .components import connected_components, spanning
 
-#: Rows of the sample, rows per cell, most cells of a label, labels with centres of their own, rows of a block and of a product.
-COSINE, SAMPLE, CELL_ROWS, MOST_CELLS, OWN_LABELS, TILE, BLOCK = 0.93, 16_384, 64, 1024, 64, 4096, 512
-#: Cells that a vector enters on average, at most; a label whose vectors would enter more gets fewer cells.
-ENTERED = 6.0
+#: Rows of the sample, rows per cell, most cells of a label, labels with centres of their own, most rows of a block, rows of a product's sides.
+COSINE, SAMPLE, CELL_ROWS, MOST_CELLS, OWN_LABELS, TILE, BLOCK, ACROSS = 0.93, 16_384, 64, 1024, 64, 65_536, 512, 8192
+#: Most components in a block; products of one vector that cost as much as to move it once more.
+COMPONENTS, WORTH = 1 << 22, 65_536
 #: Cosines this near to the limit are decided by one exact sum; cells of many rows up to which their table is broadcast.
 EDGE, FEW_CELLS = 1e-9, 10_000
 
@@ -89,11 +90,14 @@ def tile_links(
     links, links2 = np.zeros(len(ids), np.int64), np.zeros(len(ids2), np.int64)
     u, v = [ids[:0]], [ids[:0]]
     for lo in range(0, len(ids), BLOCK):
-        start = lo if b is None else 0  # inside a block, pairs are taken once
-        cos = x[lo : lo + BLOCK] @ x2[start:].T
-        i, j = np.nonzero(cos >= cosine - EDGE)
-        near = cos[i, j]
-        i, j = i + lo, j + start
+        found = []
+        for start in range(lo if b is None else 0, len(ids2), ACROSS):  # inside a block, pairs are taken once
+            cos = x[lo : lo + BLOCK] @ x2[start : start + ACROSS].T
+            i, j = np.nonzero(cos >= cosine - EDGE)
+            found.append((i + lo, j + start, cos[i, j]))
+        if not found:
+            continue
+        i, j, near = map(np.concatenate, zip(*found))
         keep = (i < j) if b is None else np.ones(len(i), bool)
         for at in np.flatnonzero(keep & (near < cosine + EDGE)):
             keep[at] = exact_cosine(x[i[at]], x2[j[at]]) >= cosine
@@ -115,6 +119,16 @@ def tile_links(
     return links, links2, p[p != q], q[p != q]
 
 
+def block_rows(dim: int) -> int:
+    """Rows of a block: a task holds two."""
+    return max(1, min(TILE, COMPONENTS // max(1, dim)))
+
+
+def cost(n: int, k: int, entered: float, tile: int) -> float:
+    """Times that one of n vectors moves (once per cell entered and block of it), and its products in such units."""
+    return entered * np.ceil(max(1.0, n * entered / k) / tile) + n * entered**2 / k / WORTH
+
+
 def _centres(same: DataFrame, sample: int, cell_rows: int, cosine: float) -> tuple[dict[int, np.ndarray], np.ndarray]:
     """(centres of the labels that hold at least one in ``OWN_LABELS`` of the rows, centres of all others)."""
     total = same.count()
@@ -133,12 +147,13 @@ def _centres(same: DataFrame, sample: int, cell_rows: int, cosine: float) -> tup
     x = unit(x) if len(x) else x
 
     def fit(rows: np.ndarray, n: int) -> np.ndarray:
-        k = int(min(MOST_CELLS, max(1, n // cell_rows), len(rows)))
-        while True:  # copies go with the cells entered, comparisons with the size of a cell
+        k, best = int(min(MOST_CELLS, max(1, n // cell_rows), len(rows))), (np.inf, rows[:1])
+        while k:
             found = spherical_kmeans(rows, k)
-            if k == 1 or cells_of(rows, found, cosine)[1].sum(1).mean() <= ENTERED:
-                return found
+            now = cost(n, k, cells_of(rows, found, cosine)[1].sum(1).mean(), block_rows(x.shape[1]))
+            best = (now, found) if now < best[0] else best
             k //= 2
+        return best[1]
 
     other = x[~np.isin(label, list(own))]
     return {k: fit(x[label == k], n) for k, n in own.items() if (label == k).any()}, fit(other, most) if len(other) else np.zeros((1, x.shape[1]))
@@ -195,7 +210,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
 
     placed = same.select("label", "vec", "rep", "n").mapInArrow(place, f"label long, vec {same.schema['vec'].dataType.simpleString()}, rep long, n long, cell int, home int, enters array<int>")
     # A cell of many rows is cut into blocks; a row goes to the tasks that compare its block with each block.
-    blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks")).filter("blocks > 1")
+    blocks = placed.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / block_rows(dim[0])).cast("int").alias("blocks")).filter("blocks > 1")
     blocks = materialize(blocks, "blocks")
     split = placed.join(F.broadcast(blocks) if blocks.count() <= FEW_CELLS else blocks, ["label", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     split = split.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
