@@ -402,3 +402,15 @@ def test_logger(tmp_path, monkeypatch):
         log = get_logger("tracewright.test", str(path))
     log.debug("small thing")
     assert len(log.handlers) == 2 and log.handlers[0].level == 40 and path.read_text().count("small thing") == 1
+
+
+def test_edges_of_dense_sessions(spark):
+    """Pairs against brute force, to both sides of the window's limit; frequencies whose product exceeds a long."""
+    rng = np.random.default_rng(4)
+    at = [(f"s{k % 3}", f"T{int(t)}", int(us)) for k, (t, us) in enumerate(zip(rng.integers(0, 12, 90), rng.integers(0, 4000, 90)))]
+    at += [("edge", "A", 30), ("edge", "B", 90), ("edge", "C", 151), ("odd", "A", None)]
+    rows = spark.createDataFrame([(*a, 1) for a in at], "session_id string, template_id string, _s long, frequency long").withColumn("timestamp", F.timestamp_seconds("_s").cast("timestamp_ntz"))
+    want = {(s, min(a, b), max(a, b)) for s, a, x in at for s2, b, y in at if s == s2 and a != b and None not in (x, y) and abs(x - y) <= 60}
+    assert {tuple(r) for r in graph.session_pairs(rows, graph.top_templates(rows)).collect()} == want and ("edge", "B", "C") not in want
+    many = rows.withColumn("frequency", F.lit(1 << 40))
+    assert graph.edges(many, graph.top_templates(many)).filter("pmi = 0").count() == len({(a, b) for _, a, b in want})
