@@ -414,3 +414,10 @@ def test_edges_of_dense_sessions(spark):
     assert {tuple(r) for r in graph.session_pairs(rows, graph.top_templates(rows)).collect()} == want and ("edge", "B", "C") not in want
     many = rows.withColumn("frequency", F.lit(1 << 40))
     assert graph.edges(many, graph.top_templates(many)).filter("pmi = 0").count() == len({(a, b) for _, a, b in want})
+
+
+def test_graph_scores_digest_ids_before_rows_take_them(spark):
+    rows = frame(spark, [0, 5, 10, 4000], session="s1", template=["A", "B", "A", "C"])
+    lists = {r[0]: ",".join(r[1]) for r in graph.graph_scores(rows).select("sequence_number", "correlated_log_ids").collect()}
+    joined = graph.graph_scores(rows, ids=lambda c: F.array_join(c, ",")).select("sequence_number", "correlated_log_ids")
+    assert {r[0]: r[1] for r in joined.collect()} == lists == {1: "2", 2: "1,3", 3: "2", 4: ""}
