@@ -421,3 +421,20 @@ def test_graph_scores_digest_ids_before_rows_take_them(spark):
     lists = {r[0]: ",".join(r[1]) for r in graph.graph_scores(rows).select("sequence_number", "correlated_log_ids").collect()}
     joined = graph.graph_scores(rows, ids=lambda c: F.array_join(c, ",")).select("sequence_number", "correlated_log_ids")
     assert {r[0]: r[1] for r in joined.collect()} == lists == {1: "2", 2: "1,3", 3: "2", 4: ""}
+
+
+def test_graph_scores_hold_all_templates(spark):
+    """No template is cut from a graph of more than the former limit; sparse ranks equal dense ones."""
+    from tracewright.plans import queries as Q
+
+    n = graph.DEFAULT.graph_max_nodes + 20
+    rows = spark.range(2 * n).select((F.col("id") + 1).alias("sequence_number"), F.concat(F.lit("s"), F.floor(F.col("id") / 2)).alias("session_id"), F.concat(F.lit("T"), F.floor((F.col("id") + 1) / 2)).alias("template_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("timestamp"), F.lit(1).cast("long").alias("frequency"))
+    got = graph.graph_scores(rows).toPandas()
+    assert got["in_graph"].all() and set(got["cluster_id"]) == {"C0000"} and (got["degree"] > 0).all()
+    assert Q.SQL["pagerank"].count("LIMIT") == Q.SQL["graph_scores"].count("LIMIT") == 0 and "LIMIT 500" in Q.SQL["edge_pmi"]
+    w = np.triu(np.random.default_rng(1).random((9, 9)) * (np.random.default_rng(2).random((9, 9)) < 0.4), 1)
+    w = w + w.T
+    p, out = np.full(9, 1 / 9), w.sum(1)
+    for _ in range(100):
+        p = 0.85 * (np.where(out > 0, p / np.where(out > 0, out, 1), 0) @ w + p[out == 0].sum() / 9) + 0.15 / 9
+    assert np.allclose(graph.pagerank(w, 0.85), p, rtol=0, atol=1e-14)
