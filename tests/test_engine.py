@@ -438,3 +438,10 @@ def test_graph_scores_hold_all_templates(spark):
     for _ in range(100):
         p = 0.85 * (np.where(out > 0, p / np.where(out > 0, out, 1), 0) @ w + p[out == 0].sum() / 9) + 0.15 / 9
     assert np.allclose(graph.pagerank(w, 0.85), p, rtol=0, atol=1e-14)
+
+
+def test_equal_ranks(spark):
+    rows = frame(spark, [0, 5], session="s1", template=["A", "B"])
+    nodes = graph.top_templates(rows)
+    ranks = lambda **k: [r["pagerank"] for r in graph.node_scores(nodes, graph.edges(rows, nodes), **k).collect()]
+    assert ranks() == [0.5, 0.5] and all(x is not None and np.isnan(x) for x in ranks(flat=float("nan")))
