@@ -445,3 +445,12 @@ def test_equal_ranks(spark):
     nodes = graph.top_templates(rows)
     ranks = lambda **k: [r["pagerank"] for r in graph.node_scores(nodes, graph.edges(rows, nodes), **k).collect()]
     assert ranks() == [0.5, 0.5] and all(x is not None and np.isnan(x) for x in ranks(flat=float("nan")))
+
+
+def test_scores_of_equal_rows(spark):
+    """Equal raw scores: 0.5 by the contract, not a number where the SQL divides by zero; no fixed threshold there."""
+    rows = spark.createDataFrame([(i, 0.4, 0.0) for i in range(4)], "sequence_number long, raw_isolation double, zscore_base double")
+    assert [r[0] for r in anomaly.minmax_isolation(rows).select("isolation_score").collect()] == [0.5] * 4
+    odd = anomaly.combine(anomaly.minmax_isolation(rows, float("nan")), 400)
+    got = anomaly.dynamic_threshold(odd, fixed=False).select("isolation_score", "combined_score", "is_anomaly").collect()
+    assert all(np.isnan(r[0]) and r[1] == 1.0 and not r[2] for r in got) and len(got) == 4

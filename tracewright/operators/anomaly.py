@@ -55,19 +55,42 @@ class Forest:
         return cls(**d)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """2 ** (-mean depth / expected depth), in (0, 1)."""
+        """2 ** (-mean depth / expected depth), in (0, 1).
+
+        A row that ends early stays at its leaf, so each level is one pass over all
+        rows without picking those that still move.
+        """
+        x = np.ascontiguousarray(x, float)
+        cells, base = x.ravel(), np.arange(len(x)) * x.shape[1]
         total = np.zeros(len(x))
-        for f, v, lo, hi, d in zip(self.feature, self.value, self.left, self.right, self.depth, strict=True):
-            f, v, lo, hi, d = map(np.array, (f, v, lo, hi, d))
-            node = np.zeros(len(x), int)
-            live = np.flatnonzero(f[node] >= 0)
-            while len(live):
-                at = node[live]
-                node[live] = np.where(x[live, f[at]] < v[at], lo[at], hi[at])
-                live = live[f[node[live]] >= 0]
-            total += d[node]
+        for feature, value, child, depth, levels in self._arrays():
+            node = np.zeros(len(x), np.int64)
+            for _ in range(levels):
+                low = cells.take(base + feature.take(node, mode="clip"), mode="clip") < value.take(node, mode="clip")
+                node = child.take(2 * node + low, mode="clip")
+            total += depth.take(node)
         return 2 ** (-(total / len(self.feature)) / max(float(_average_path(self.psi)), 1e-9))
 
+    def _arrays(self) -> list[tuple]:
+        """Trees as arrays: feature, value, (right, left) child, depth, levels; a leaf leads to itself.  Made once."""
+        made = self.__dict__.get("_made")
+        if made is None:
+            made = []
+            for f, v, lo, hi, d in zip(self.feature, self.value, self.left, self.right, self.depth, strict=True):
+                f, own = np.array(f), np.arange(len(f))
+                lo, hi = np.where(f < 0, own, lo), np.where(f < 0, own, hi)
+                made.append((np.maximum(f, 0), np.array(v, float), np.stack([hi, lo], 1).ravel(), np.array(d, float), self._levels(lo, hi)))
+            self.__dict__["_made"] = made
+        return made
+
+    @staticmethod
+    def _levels(lo: np.ndarray, hi: np.ndarray) -> int:
+        """Steps from the root to the deepest leaf."""
+        level, n = np.array([0]), 0
+        while len(level := np.concatenate([lo[level], hi[level]])[np.concatenate([lo[level] != level, hi[level] != level])]):
+            n += 1
+        return n
+
 
 def grow_tree(x: np.ndarray, rng: np.random.Generator) -> tuple[list, list, list, list, list]:
     feature, value, left, right, depth = [], [], [], [], []
@@ -129,11 +152,11 @@ def _scalar(df: DataFrame, *aggs) -> DataFrame:
     return F.broadcast(df.agg(*aggs))  # one row
 
 
-def minmax_isolation(rows: DataFrame) -> DataFrame:
-    """isolation_score: the raw score on the batch's own scale, 0.5 if it is constant."""
+def minmax_isolation(rows: DataFrame, flat: float = 0.5) -> DataFrame:
+    """isolation_score: the raw score on the batch's own scale, ``flat`` if it is constant."""
     ends = _scalar(rows, F.min("raw_isolation").alias("_lo"), F.max("raw_isolation").alias("_hi"))
     lo, hi = F.col("_lo"), F.col("_hi")
-    return rows.crossJoin(ends).withColumn("isolation_score", F.when(hi > lo, (F.col("raw_isolation") - lo) / (hi - lo)).otherwise(0.5)).drop("_lo", "_hi")
+    return rows.crossJoin(ends).withColumn("isolation_score", F.when(hi > lo, (F.col("raw_isolation") - lo) / (hi - lo)).otherwise(F.lit(flat))).drop("_lo", "_hi")
 
 
 def combine(rows: DataFrame, trained_rows: int, config: Config = DEFAULT) -> DataFrame:
@@ -145,14 +168,15 @@ def combine(rows: DataFrame, trained_rows: int, config: Config = DEFAULT) -> Dat
     )
 
 
-def dynamic_threshold(rows: DataFrame, column: str = "combined_score", config: Config = DEFAULT) -> DataFrame:
-    """is_anomaly: above mean + k population deviations, or above a fixed value where scores hardly vary."""
+def dynamic_threshold(rows: DataFrame, column: str = "combined_score", config: Config = DEFAULT, fixed: bool = True) -> DataFrame:
+    """is_anomaly: above mean + k population deviations, or (if ``fixed``) above a fixed value where scores hardly vary."""
     stats = _scalar(rows, F.avg(column).alias("_mean"), F.stddev_pop(column).alias("_std"))
-    limit = F.when(F.col("_std") < 1e-6, config.fallback_threshold).otherwise(F.col("_mean") + config.dynamic_k * F.col("_std"))
+    limit = F.col("_mean") + config.dynamic_k * F.col("_std")
+    limit = F.when(F.col("_std") < 1e-6, config.fallback_threshold).otherwise(limit) if fixed else limit
     return rows.crossJoin(stats).withColumn("is_anomaly", F.col(column) > limit).drop("_mean", "_std")
 
 
-def detect(features: DataFrame, forest: Forest | None = None, config: Config = DEFAULT) -> DataFrame:
+def detect(features: DataFrame, forest: Forest | None = None, config: Config = DEFAULT, flat: float = 0.5, fixed: bool = True) -> DataFrame:
     """(sequence_number, isolation_score, zscore_norm, combined_score, is_anomaly, model_confidence).
 
     Rows with a null or an infinite feature are left out.  Without a model one is
@@ -163,8 +187,8 @@ def detect(features: DataFrame, forest: Forest | None = None, config: Config = D
         rows = staged(rows, "features")
         forest = train_forest(rows, config=config)
     rows = staged(add_isolation(rows, forest).select("sequence_number", "zscore_base", "raw_isolation"), "isolation")
-    out = combine(minmax_isolation(rows), forest.rows, config)
-    return dynamic_threshold(out, config=config).select(*OUTPUT)
+    out = combine(minmax_isolation(rows, flat), forest.rows, config)
+    return dynamic_threshold(out, config=config, fixed=fixed).select(*OUTPUT)
 
 
 def retrain(features: DataFrame, config: Config = DEFAULT) -> Forest | None:
