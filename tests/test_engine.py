@@ -454,3 +454,36 @@ def test_scores_of_equal_rows(spark):
     odd = anomaly.combine(anomaly.minmax_isolation(rows, float("nan")), 400)
     got = anomaly.dynamic_threshold(odd, fixed=False).select("isolation_score", "combined_score", "is_anomaly").collect()
     assert all(np.isnan(r[0]) and r[1] == 1.0 and not r[2] for r in got) and len(got) == 4
+
+
+def test_cells_are_linked_by_boxes(spark):
+    """Dense cells on both sides of a gap of 0.3001, of which only parts are compared by points."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.random((300, 3)) * (0.2999, 1, 1), rng.random((300, 3)) * (0.3, 1, 1) + (0.6002, 0, 0), [[0.3, 0.5, 0.5], [0.6001, 0.5, 0.5]]])
+    at = spark.createDataFrame([(i, *map(float, v), "1,0,0" if v[0] <= 0.3 else "3,0,0") for i, v in enumerate(x)], "sequence_number long, x double, y double, z double, cell string")
+    for eps, want in ((0.30005, []), (0.30015, [("1,0,0", "3,0,0")])):
+        assert list(scoring._linked(at, [("1,0,0", "3,0,0")], eps, lambda a, b: False)) == want
+
+
+def test_folding_against_one_pass(spark):
+    """Clusters against a plain pass over every bucket, full buckets and repeated messages included."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{int(v)}" for v in rng.integers(0, 4, 4)) for _ in range(400)]
+    from collections import defaultdict
+    buckets, owner = defaultdict(list), []
+    for t in texts:
+        w = t.split()
+        own = buckets[w[0]]
+        score = [sum(a in (b, "<*>") for a, b in zip(c, w)) / 4 for c in own]
+        best = int(np.argmax(score)) if own else -1
+        if own and score[best] >= 0.75:
+            own[best][:] = [a if a == b else "<*>" for a, b in zip(own[best], w)]
+            owner.append(own[best])
+        elif len(own) < 3:
+            own.append(list(w))
+            owner.append(own[-1])
+        else:
+            owner.append(w)
+    df = spark.createDataFrame(list(enumerate(texts, 1)), "sequence_number long, message string")
+    got = {r[0]: r[1] for r in templates.mine_templates(df, Config(sim_threshold=0.75, max_children=3)).select("sequence_number", "template").collect()}
+    assert [got[i] for i in range(1, 401)] == [" ".join(o) for o in owner] and not hasattr(templates, "pd")
